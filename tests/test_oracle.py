@@ -1,0 +1,55 @@
+"""Every registered query against DuckDB, row for row."""
+
+import __spark_entry__ as registry
+import duckdb
+import pytest
+
+SF = "sf0.01"
+DATA = f"/root/testdata/{SF}"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+ROWS = {
+    "total_nurse_hours": 8261,
+    "employee_vs_contractor_ratio": 8261,
+    "staffing_vs_patient_load": 100,
+    "lowest_staffing_vs_patient_load": 10,
+    "staffing_vs_readmission": 869,
+    "route_files": 138,
+    "changed_files": 102,
+    "drop_exact_duplicates": 1500,
+}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
+    yield connection
+    connection.close()
+
+
+def comparable(rows, columns):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return sorted(([row[i] for i in order] for row in rows), key=repr)
+
+
+@pytest.mark.parametrize("name", registry.queries())
+def test_matches_duckdb(spark, duck, name):
+    ours = registry.queries()[name](spark, DATA)
+    theirs = duck.sql(registry.oracle_sql()[name])
+    assert sorted(ours.columns) == sorted(theirs.columns)
+    rows = ours.collect()
+    assert comparable(rows, ours.columns) == comparable(theirs.fetchall(), theirs.columns)
+    assert len(rows) == ROWS.get(name, len(rows)) > 0
+
+
+def test_every_query_has_an_oracle():
+    assert registry.queries().keys() == registry.oracle_sql().keys()
+
+
+def test_entry_runs(spark):
+    assert registry.entry(spark).count() > 0
