@@ -113,6 +113,21 @@ def dirty_columns(text: str) -> dict[str, str]:
     }
 
 
+# Types of the test tables, so that no job has to look them up in the files.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
 STATE_ROWS = "event_id % 3 = 0 and user_id % 4 <> 0"
 COPIED_ROWS = "c_custkey % 10 = 0"
 
@@ -123,7 +138,7 @@ def _project(df: DataFrame, columns: Callable[[str], dict[str, str]]) -> DataFra
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,13 +159,13 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _project(table(spark, sf_dir, "events"), file_columns)
-    return latest_per_key(files, ["file_id"], "modified_time", [files.event_id.desc()])
+    return latest_per_key(files, ["file_id"], "modified_time", ["event_id desc"])
 
 
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key, name and time of the files seen before."""
     files = _project(table(spark, sf_dir, "events").filter(STATE_ROWS), file_columns)
-    newest = latest_per_key(files, ["file_id"], "modified_time", [files.event_id.desc()])
+    newest = latest_per_key(files, ["file_id"], "modified_time", ["event_id desc"])
     return newest.select("file_id", "file_name", "modified_time")
 
 

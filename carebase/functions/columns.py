@@ -1,14 +1,12 @@
-"""Built-in column expressions shared by the operators."""
+"""SQL expressions shared by the operators.
+
+They are texts for ``expr`` and ``selectExpr``: one call per expression, where the Column
+API makes a round trip to the JVM for every node, which adds up on wide tables.
+"""
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Sequence
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from carebase.datasets import MISSING_TOKENS
 
@@ -21,55 +19,62 @@ def check_bad_value_mode(mode: str) -> str:
     return mode
 
 
-def null_if_missing(name: str) -> Column:
+def quoted(name: str) -> str:
+    """A column name that may hold any character."""
+    escaped = name.replace("`", "``")
+    return f"`{escaped}`"
+
+
+def null_if_missing(name: str) -> str:
     """The text as it stands, or null where it is only a missing-value token.
 
     Blanks around a token do not matter; a kept value keeps its own blanks.
     """
-    text = F.col(name)
-    return F.when(~F.lower(F.trim(text)).isin(*MISSING_TOKENS), text)
+    column = quoted(name)
+    return f"case when lower(trim({column})) not in {MISSING_TOKENS} then {column} end"
 
 
-def typed(column: Column, data_type: str, on_bad_value: str = "raise") -> Column:
+def typed(name: str, data_type: str, on_bad_value: str = "raise") -> str:
     """Cast that fails the job on bad text, or turns it into null when asked to."""
-    if check_bad_value_mode(on_bad_value) == "null":
-        return column.try_cast(data_type)
-    return column.cast(data_type)
+    cast = "try_cast" if check_bad_value_mode(on_bad_value) == "null" else "cast"
+    return f"{cast}({quoted(name)} as {data_type})"
 
 
-def strict_total(names: Sequence[str]) -> Column:
+def strict_total(names: Sequence[str]) -> str:
     """Row total that is null as soon as one part is null."""
-    return reduce(operator.add, map(F.col, names))
+    return " + ".join(names)
 
 
-def filled_total(names: Sequence[str]) -> Column:
+def filled_total(names: Sequence[str]) -> str:
     """Row total that counts null parts as zero."""
-    return reduce(operator.add, (F.coalesce(F.col(name), F.lit(0.0)) for name in names))
+    return " + ".join(f"coalesce({name}, 0D)" for name in names)
 
 
-def ratio(part: Column, whole: Column) -> Column:
+def ratio(part: str, whole: str) -> str:
     """``part / whole``, null where ``whole`` is zero."""
-    return part / F.nullif(whole, F.lit(0.0))
+    return f"({part}) / nullif({whole}, 0)"
 
 
-def month_start(name: str, data_type: T.DataType, on_bad_value: str = "raise") -> Column:
-    """First day of the month of a yyyymmdd number or text, as a timestamp without zone.
+def month_start(day: str, on_bad_value: str = "raise") -> str:
+    """First day of the month of a yyyymmdd text, as a timestamp without zone."""
+    parse = "try_to_date" if check_bad_value_mode(on_bad_value) == "null" else "to_date"
+    return f"cast(trunc({parse}(cast({day} as string), 'yyyyMMdd'), 'MM') as timestamp_ntz)"
 
-    Whole numbers are taken apart with integer arithmetic, which is several times
-    cheaper than formatting and parsing text for every row. ``make_date`` still checks
-    each day against the calendar.
+
+def month_start_between(first: str, last: str) -> str:
+    """The same for the first and last yyyymmdd number seen in one calendar month.
+
+    Both must be real days, else the job fails. Days of a month follow each other without
+    gaps, so that covers all numbers in between.
     """
-    day = F.col(name)
-    lenient = check_bad_value_mode(on_bad_value) == "null"
-    if isinstance(data_type, T.IntegralType) and not lenient:
-        # A month of 0 makes make_date refuse numbers that do not have eight digits.
-        month = F.when(day.between(10000101, 99991231), F.expr(f"`{name}` div 100 % 100"))
-        date = F.make_date(
-            F.expr(f"cast(`{name}` div 10000 as int)"),
-            F.coalesce(month, F.lit(0)).cast("int"),
-            F.expr(f"cast(`{name}` % 100 as int)"),
-        )
-    else:
-        parse = F.try_to_date if lenient else F.to_date
-        date = parse(day.cast("string"), "yyyyMMdd")
-    return F.trunc(date, "MM").cast("timestamp_ntz")
+    real = f"({last} is null or {_as_date(last)} is not null)"
+    return f"cast(case when {real} then trunc({_as_date(first)}, 'MM') end as timestamp_ntz)"
+
+
+def _as_date(number: str) -> str:
+    # make_date refuses days and months that do not exist. A month of 0 makes it refuse
+    # numbers that do not have eight digits as well.
+    return (
+        f"make_date(cast({number} div 10000 as int), cast(if({number} between 10000101 and "
+        f"99991231, {number} div 100 % 100, 0) as int), cast({number} % 100 as int))"
+    )

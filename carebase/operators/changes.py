@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carebase.datasets import UNMAPPED
 
-PENDING = ("new", "changed")
+PENDING = "action in ('new', 'changed')"
 
 
 def detect_changes(routed: DataFrame, state: DataFrame) -> DataFrame:
@@ -16,43 +16,30 @@ def detect_changes(routed: DataFrame, state: DataFrame) -> DataFrame:
     A file without a time, or whose state has none, counts as changed: better to read it
     once too often. ``state`` has one row per ``file_id``.
     """
-    known = state.select(
-        "file_id", F.col("modified_time").alias("seen_time"), F.lit(True).alias("is_known")
-    )
-    newer = (
-        F.col("modified_time").isNull()
-        | F.col("seen_time").isNull()
-        | (F.col("modified_time") > F.col("seen_time"))
-    )
-    action = (
-        F.when(F.col("is_known").isNull(), "new").when(newer, "changed").otherwise("unchanged")
-    )
-    return (
-        routed.join(known, "file_id", "left")
-        .withColumn("action", action)
-        .drop("is_known", "seen_time")
+    known = state.selectExpr("file_id", "modified_time as seen_time", "true as is_known")
+    action = """
+        case when is_known is null then 'new'
+             when modified_time is null or seen_time is null or modified_time > seen_time
+             then 'changed'
+             else 'unchanged' end as action"""
+    return routed.join(known, "file_id", "left").selectExpr(
+        *[f"`{name}`" for name in routed.columns], action
     )
 
 
 def changed_files(routed: DataFrame, state: DataFrame) -> DataFrame:
-    return detect_changes(routed, state).filter(F.col("action").isin(*PENDING))
+    return detect_changes(routed, state).where(PENDING)
 
 
 def ingest_counts(changes: DataFrame) -> DataFrame:
     """One row: CSV files to process, CSV files left alone, and processed ones without a rule."""
-    pending = F.col("action").isin(*PENDING)
-    unmapped = pending & (F.col("dataset") == UNMAPPED)
     return changes.agg(
-        F.count_if(pending).alias("processed"),
-        F.count_if(~pending).alias("skipped"),
-        F.count_if(unmapped).alias("unmapped"),
+        F.expr(f"count_if({PENDING}) as processed"),
+        F.expr(f"count_if(not {PENDING}) as skipped"),
+        F.expr(f"count_if({PENDING} and dataset = '{UNMAPPED}') as unmapped"),
     )
 
 
 def stale_datasets(changes: DataFrame) -> DataFrame:
     """Known datasets with a new or changed file. No row means nothing needs refining."""
-    return (
-        changes.filter(F.col("action").isin(*PENDING) & (F.col("dataset") != UNMAPPED))
-        .select("dataset")
-        .distinct()
-    )
+    return changes.where(f"{PENDING} and dataset <> '{UNMAPPED}'").select("dataset").distinct()

@@ -5,23 +5,27 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carebase.functions.columns import null_if_missing, typed
+from carebase.functions.columns import null_if_missing, quoted, typed
 
 SOURCE_FILE = "source_file"
 INGESTED_AT = "ingested_at_utc"
 
 
-def standardize_missing(df: DataFrame, skip: Collection[str] = (SOURCE_FILE, INGESTED_AT)) -> DataFrame:
+def text_columns(df: DataFrame) -> list[str]:
+    return [field.name for field in df.schema if isinstance(field.dataType, T.StringType)]
+
+
+def standardize_missing(
+    df: DataFrame, skip: Collection[str] = (SOURCE_FILE, INGESTED_AT)
+) -> DataFrame:
     """Missing-value tokens of text columns become null. One projection, inside codegen."""
-    return df.select(
+    texts = set(text_columns(df)).difference(skip)
+    return df.selectExpr(
         *[
-            null_if_missing(field.name).alias(field.name)
-            if isinstance(field.dataType, T.StringType) and field.name not in skip
-            else F.col(field.name)
-            for field in df.schema
+            f"{null_if_missing(name)} as {quoted(name)}" if name in texts else quoted(name)
+            for name in df.columns
         ]
     )
 
@@ -29,17 +33,20 @@ def standardize_missing(df: DataFrame, skip: Collection[str] = (SOURCE_FILE, ING
 def apply_types(
     df: DataFrame, types: Mapping[str, str], on_bad_value: str, bad_cells: str
 ) -> DataFrame:
-    """Casts the text columns named in ``types`` and counts the cells that did not fit."""
-    texts = [
-        field.name
-        for field in df.schema
-        if field.name in types and isinstance(field.dataType, T.StringType)
+    """Casts the text columns named in ``types``.
+
+    Adds a column with the number of cells that did not fit; it is 0 throughout unless bad
+    cells become null.
+    """
+    casts = {
+        name: typed(name, types[name], on_bad_value) for name in text_columns(df) if name in types
+    }
+    lost = [
+        f"cast({quoted(name)} is not null and {cast} is null as int)"
+        for name, cast in casts.items()
+        if on_bad_value == "null"
     ]
-    casts = {name: typed(F.col(name), types[name], on_bad_value) for name in texts}
-    lost = F.lit(0)
-    if on_bad_value == "null":
-        for name in texts:
-            lost = lost + (F.col(name).isNotNull() & casts[name].isNull()).cast("int")
-    return df.select(
-        *[casts.get(name, F.col(name)).alias(name) for name in df.columns], lost.alias(bad_cells)
+    return df.selectExpr(
+        *[f"{casts.get(name, quoted(name))} as {quoted(name)}" for name in df.columns],
+        f"{' + '.join(lost) or '0'} as {bad_cells}",
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,7 +16,7 @@ def count_copies(
     df: DataFrame,
     copies: str = "copies",
     aside: Sequence[str] = (),
-    extra: Mapping[str, Column] | None = None,
+    extra: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One row per distinct row, with the number of rows it stands for.
 
@@ -25,13 +25,13 @@ def count_copies(
     reaches the reducer as one row per task.
     """
     keys = [name for name in df.columns if name not in aside]
-    aggregates = [expression.alias(name) for name, expression in (extra or {}).items()]
-    return df.groupBy(*keys).agg(F.count("*").alias(copies), *aggregates)
+    aggregates = {copies: "count(*)", **(extra or {})}
+    return df.groupBy(*keys).agg(*[F.expr(f"{sql} as {name}") for name, sql in aggregates.items()])
 
 
 def dedupe_report(df: DataFrame) -> DataFrame:
     """One row: rows in, rows left and rows dropped. The input is read once."""
-    return count_copies(df, "copies").agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_in"),
-        F.count("*").alias("rows_out"),
-    ).withColumn("dropped", F.col("rows_in") - F.col("rows_out"))
+    totals = count_copies(df).agg(
+        F.expr("coalesce(sum(copies), 0) as rows_in"), F.expr("count(*) as rows_out")
+    )
+    return totals.selectExpr("rows_in", "rows_out", "rows_in - rows_out as dropped")

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SLICE = "__slice"
+_SLICE, _MASK = "__slice", "__mask"
 
-
-def _slice_of(columns: Sequence[str], slices: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(slices)).cast("int")
+MAX_SLICES = 63  # one bit each in a bigint
 
 
 def sliced_left_join(
@@ -30,8 +28,16 @@ def sliced_left_join(
     has, so every repeat finds a partner; a left row without partner is kept once.
 
     ``right_keys`` is any frame with the same distinct (``key``, ``slice_on``) values as
-    ``right``; it only has to be cheaper to compute.
+    ``right``; it only has to be cheaper to compute. Its slices are folded into one number
+    per key in front of the shuffle.
     """
-    present = right_keys.select(key, _slice_of(slice_on, slices).alias(_SLICE)).distinct()
-    sliced = right.withColumn(_SLICE, _slice_of(slice_on, slices))
-    return left.join(present, key, "left").join(sliced, [key, _SLICE], "left").drop(_SLICE)
+    if not 1 <= slices <= MAX_SLICES:
+        raise ValueError(f"slices must be from 1 to {MAX_SLICES}, not {slices}")
+    slice_of = f"cast(pmod(xxhash64({', '.join(slice_on)}), {slices}) as int)"
+    present = right_keys.groupBy(key).agg(F.expr(f"bit_or(shiftleft(1L, {slice_of}))").alias(_MASK))
+    found = f"filter(sequence(0, {slices - 1}), i -> bit_get({_MASK}, i) = 1)"
+    repeated = left.join(present, key, "left").selectExpr(
+        *left.columns, f"explode_outer({found}) as {_SLICE}"
+    )
+    sliced = right.withColumn(_SLICE, F.expr(slice_of))
+    return repeated.join(sliced, [key, _SLICE], "left").drop(_SLICE)

@@ -9,45 +9,63 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carebase.datasets import CONTRACTOR_HOURS, EMPLOYEE_HOURS, HOURS
-from carebase.functions.columns import filled_total, month_start, strict_total
+from carebase.functions.columns import (
+    filled_total,
+    month_start,
+    month_start_between,
+    strict_total,
+)
 
 FACILITY = ("provnum", "state")
 
+_FACILITY_SUMS = {
+    "nursing_hours": f"sum({filled_total(HOURS)})",
+    "patient_days": "sum(cast(mdscensus as double))",
+    "census_days": "count(cast(mdscensus as double))",
+}
+
+_MONTH_SUMS = {
+    "strict_hours": f"sum({strict_total(HOURS)})",
+    "employee_hours": f"sum({filled_total(EMPLOYEE_HOURS)})",
+    "contractor_hours": f"sum({filled_total(CONTRACTOR_HOURS)})",
+    **_FACILITY_SUMS,
+}
+
+
+def _aliased(expressions: dict[str, str]) -> list:
+    return [F.expr(f"{sql} as {name}") for name, sql in expressions.items()]
+
 
 def facility_months(staffing: DataFrame, on_bad_value: str = "raise") -> DataFrame:
     """Sums per facility, state and month.
 
     ``strict_hours`` leaves out rows with any null hour column; the other hour sums count
     nulls as zero.
+
+    Whole-number days are grouped by their first six digits, and the calendar is consulted
+    once per group instead of once per row. Text days, and bad days that shall become null,
+    need a look at each row.
     """
-    month = month_start("workdate", staffing.schema["workdate"].dataType, on_bad_value)
-    census = F.col("mdscensus").cast("double")
-    return staffing.groupBy(*FACILITY, month.alias("month_start")).agg(
-        F.sum(strict_total(HOURS)).alias("strict_hours"),
-        F.sum(filled_total(EMPLOYEE_HOURS)).alias("employee_hours"),
-        F.sum(filled_total(CONTRACTOR_HOURS)).alias("contractor_hours"),
-        F.sum(filled_total(HOURS)).alias("nursing_hours"),
-        F.sum(census).alias("patient_days"),
-        F.count(census).alias("census_days"),
+    whole_number = isinstance(staffing.schema["workdate"].dataType, T.IntegralType)
+    if not whole_number or on_bad_value != "raise":
+        month = F.expr(f"{month_start('workdate', on_bad_value)} as month_start")
+        return staffing.groupBy(*FACILITY, month).agg(*_aliased(_MONTH_SUMS))
+    days = {"first_day": "min(workdate)", "last_day": "max(workdate)"}
+    grouped = staffing.groupBy(*FACILITY, F.expr("workdate div 100 as month_number"))
+    return grouped.agg(*_aliased(days | _MONTH_SUMS)).selectExpr(
+        *FACILITY, f"{month_start_between('first_day', 'last_day')} as month_start", *_MONTH_SUMS
     )
 
 
 def facility_totals(staffing: DataFrame) -> DataFrame:
     """Sums per facility and state over all dates, straight from the fact table."""
-    census = F.col("mdscensus").cast("double")
-    return staffing.groupBy(*FACILITY).agg(
-        F.sum(filled_total(HOURS)).alias("nursing_hours"),
-        F.sum(census).alias("patient_days"),
-        F.count(census).alias("census_days"),
-    )
+    return staffing.groupBy(*FACILITY).agg(*_aliased(_FACILITY_SUMS))
 
 
 def facility_totals_from_months(months: DataFrame) -> DataFrame:
     """The same totals from stored monthly sums, without another pass over the facts."""
-    return months.groupBy(*FACILITY).agg(
-        F.sum("nursing_hours").alias("nursing_hours"),
-        F.sum("patient_days").alias("patient_days"),
-        F.sum("census_days").alias("census_days"),
-    )
+    sums = {name: f"sum({name})" for name in _FACILITY_SUMS}
+    return months.groupBy(*FACILITY).agg(*_aliased(sums))

@@ -2,46 +2,39 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from carebase.datasets import ROUTES, UNMAPPED
 
 
 def csv_files(listing: DataFrame) -> DataFrame:
-    return listing.filter(F.lower("file_name").endswith(".csv"))
+    return listing.where("lower(file_name) like '%.csv'")
 
 
-def dataset_of(file_name: str = "file_name") -> Column:
+def dataset_of(file_name: str = "file_name") -> str:
     """Dataset of the first matching rule. One CASE expression, evaluated top down."""
-    chain = reduce(
-        lambda case, rule: case.when(F.col(file_name).rlike(f"(?iu){rule[1]}"), F.lit(rule[0])),
-        ROUTES.items(),
-        F,
+    rules = " ".join(
+        f"when {file_name} rlike r'(?iu){pattern}' then '{dataset}'"
+        for dataset, pattern in ROUTES.items()
     )
-    return chain.otherwise(F.lit(UNMAPPED))
+    return f"case {rules} else '{UNMAPPED}' end"
 
 
 def route_files(listing: DataFrame, prefix: str = "") -> DataFrame:
     """Adds ``dataset``, ``target_path`` and ``is_unmapped`` to every CSV of a listing."""
-    folder = prefix.strip("/") or None
+    folder = prefix.strip("/")
+    parts = [f"'{folder}'"] * bool(folder) + ["dataset", "file_name"]
     return (
         csv_files(listing)
-        .withColumn("dataset", dataset_of())
-        .withColumn(
-            "target_path",
-            F.concat_ws("/", F.lit(folder).cast("string"), F.col("dataset"), F.col("file_name")),
+        .selectExpr("*", f"{dataset_of()} as dataset")
+        .selectExpr(
+            "*",
+            f"concat_ws('/', {', '.join(parts)}) as target_path",
+            f"dataset = '{UNMAPPED}' as is_unmapped",
         )
-        .withColumn("is_unmapped", F.col("dataset") == UNMAPPED)
     )
 
 
 def name_clashes(routed: DataFrame) -> DataFrame:
     """Target paths that more than one file of the listing would take."""
-    return (
-        routed.groupBy("target_path")
-        .agg(F.count("*").alias("files"))
-        .filter(F.col("files") > 1)
-    )
+    return routed.groupBy("target_path").count().where("count > 1").withColumnRenamed("count", "files")

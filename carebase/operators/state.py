@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from carebase.operators.latest import latest_per_key
 from carebase.sources.raw import is_missing_source
@@ -17,14 +16,14 @@ STATE_SCHEMA = (
 
 def state_rows(processed: DataFrame, bucket: str, processed_at: str) -> DataFrame:
     """State rows for routed files that have just been processed."""
-    return processed.select(
+    return processed.selectExpr(
         "file_id",
         "file_name",
         "modified_time",
-        F.lit(bucket).alias("bucket"),
-        F.col("target_path").alias("key"),
-        F.col("dataset").alias("dataset_folder"),
-        F.lit(processed_at).cast("timestamp_ntz").alias("last_processed_at"),
+        f"'{bucket}' as bucket",
+        "target_path as key",
+        "dataset as dataset_folder",
+        f"timestamp_ntz '{processed_at}' as last_processed_at",
     )
 
 
@@ -47,5 +46,5 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
             raise
         return spark.createDataFrame([], STATE_SCHEMA)
     return latest_per_key(
-        log, ["file_id"], "last_processed_at", [F.desc_nulls_last("modified_time")]
+        log, ["file_id"], "last_processed_at", ["modified_time desc nulls last"]
     )

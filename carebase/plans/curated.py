@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carebase.datasets import READMISSION_MEASURES
@@ -31,9 +31,7 @@ def total_nurse_hours(staffing: DataFrame, on_bad_value: str = "raise") -> DataF
 
 
 def total_nurse_hours_from_months(months: DataFrame) -> DataFrame:
-    return months.select(
-        *FACILITY, "month_start", F.col("strict_hours").alias("total_nursing_hours")
-    )
+    return months.selectExpr(*FACILITY, "month_start", "strict_hours as total_nursing_hours")
 
 
 def employee_vs_contractor_ratio(staffing: DataFrame, on_bad_value: str = "raise") -> DataFrame:
@@ -45,27 +43,30 @@ def employee_vs_contractor_ratio(staffing: DataFrame, on_bad_value: str = "raise
 
 
 def employee_vs_contractor_ratio_from_months(months: DataFrame) -> DataFrame:
-    employee, contractor = F.col("employee_hours"), F.col("contractor_hours")
-    return months.select(
+    share = ratio("employee_hours", "employee_hours + contractor_hours")
+    return months.selectExpr(
         *FACILITY,
         "month_start",
-        employee,
-        contractor,
-        ratio(employee, employee + contractor).alias("pct_employee_hours"),
+        "employee_hours",
+        "contractor_hours",
+        f"{share} as pct_employee_hours",
     )
 
 
 # --- facility views ---------------------------------------------------------
-def _scored(totals: DataFrame, denominator: str) -> DataFrame:
-    census = F.col("patient_days") / F.nullif(F.col("census_days"), F.lit(0))
-    facility = totals.select(
+def _scored(totals: DataFrame, denominator: str, condition: str = "true") -> DataFrame:
+    facilities = totals.selectExpr(
         *FACILITY,
-        census.alias("avg_daily_census"),
-        F.col("nursing_hours").alias("total_nursing_hours"),
+        f"{ratio('patient_days', 'census_days')} as avg_daily_census",
+        "nursing_hours as total_nursing_hours",
         "patient_days",
     )
-    score = ratio(F.col("total_nursing_hours"), F.col(denominator))
-    return facility.withColumn("nhppd", score)
+    return facilities.where(condition).selectExpr(
+        *FACILITY,
+        "avg_daily_census",
+        "total_nursing_hours",
+        f"{ratio('total_nursing_hours', denominator)} as nhppd",
+    )
 
 
 def staffing_vs_patient_load(staffing: DataFrame) -> DataFrame:
@@ -74,25 +75,24 @@ def staffing_vs_patient_load(staffing: DataFrame) -> DataFrame:
 
 
 def staffing_vs_patient_load_from_totals(totals: DataFrame) -> DataFrame:
-    return _scored(totals, "patient_days").drop("patient_days")
+    return _scored(totals, "patient_days")
 
 
 def lowest_staffing_vs_patient_load(
-    staffing: DataFrame, tie_break: Sequence[str | Column] = (), limit: int = 10
+    staffing: DataFrame, tie_break: Sequence[str] = (), limit: int = 10
 ) -> DataFrame:
     """The facilities with the lowest ``nhppd``, which here divides by the **average**
-    census. Which of several equal ones is kept is open unless ``tie_break`` says so.
+    census. Which of several equal ones is kept is open unless ``tie_break`` names further
+    columns to sort by.
     """
     return lowest_staffing_vs_patient_load_from_totals(facility_totals(staffing), tie_break, limit)
 
 
 def lowest_staffing_vs_patient_load_from_totals(
-    totals: DataFrame, tie_break: Sequence[str | Column] = (), limit: int = 10
+    totals: DataFrame, tie_break: Sequence[str] = (), limit: int = 10
 ) -> DataFrame:
     return (
-        _scored(totals, "avg_daily_census")
-        .drop("patient_days")
-        .filter(F.col("avg_daily_census") > 0)
+        _scored(totals, "avg_daily_census", "avg_daily_census > 0")
         .orderBy(F.asc_nulls_last("nhppd"), *tie_break)
         .limit(limit)
     )
@@ -101,31 +101,31 @@ def lowest_staffing_vs_patient_load_from_totals(
 # --- readmission ------------------------------------------------------------
 def readmission_claims(claims: DataFrame) -> DataFrame:
     """Scored rows of the two readmission measures; both filters reach the Parquet scan."""
-    return claims.filter(
-        F.col("measure_code").isin(*READMISSION_MEASURES) & F.col("adjusted_score").isNotNull()
+    return claims.where(
+        f"measure_code in {READMISSION_MEASURES} and adjusted_score is not null"
     ).withColumnRenamed("cms_certification_number_ccn", "provnum")
 
 
 def latest_claims(
-    claims: DataFrame, tie_break: Sequence[str | Column] = (), on_bad_value: str = "raise"
+    claims: DataFrame, tie_break: Sequence[str] = (), on_bad_value: str = "raise"
 ) -> DataFrame:
     """Newest scored row per facility, measure, resident type and period."""
     newest = latest_per_key(readmission_claims(claims), CLAIM_KEYS, "processing_date", tie_break)
-    return newest.select(
+    return newest.selectExpr(
         "provnum",
         "state",
         "measure_code",
         "measure_description",
         "resident_type",
         "measure_period",
-        typed(F.col("adjusted_score"), "double", on_bad_value).alias("readmission_value"),
+        f"{typed('adjusted_score', 'double', on_bad_value)} as readmission_value",
     )
 
 
 def staffing_vs_readmission(
     staffing: DataFrame,
     claims: DataFrame,
-    tie_break: Sequence[str | Column] = (),
+    tie_break: Sequence[str] = (),
     on_bad_value: str = "raise",
     slices: int = 16,
 ) -> DataFrame:
@@ -143,13 +143,12 @@ def staffing_vs_readmission(
 def staffing_vs_readmission_from_totals(
     totals: DataFrame,
     claims: DataFrame,
-    tie_break: Sequence[str | Column] = (),
+    tie_break: Sequence[str] = (),
     on_bad_value: str = "raise",
     slices: int = 16,
 ) -> DataFrame:
-    scored = _scored(totals, "patient_days").filter(F.col("patient_days") > 0).drop("patient_days")
     return sliced_left_join(
-        scored,
+        _scored(totals, "patient_days", "patient_days > 0"),
         latest_claims(claims, tie_break, on_bad_value).drop("state"),
         readmission_claims(claims),
         "provnum",

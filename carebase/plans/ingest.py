@@ -41,7 +41,7 @@ def dataset_files(routed: DataFrame, dataset: str) -> list[str]:
 
 def changed_dataset_files(changes: DataFrame, dataset: str) -> list[str]:
     """Paths of the new and changed files of one dataset."""
-    return dataset_files(changes.filter(F.col("action").isin(*PENDING)), dataset)
+    return dataset_files(changes.filter(PENDING), dataset)
 
 
 def ingest(
@@ -75,9 +75,7 @@ def ingest(
     results = refine_sources(spark, sources, refined_root, run_ts, options)
 
     landed = [row["dataset"] for row in results if row["status"] == PROCESSED]
-    done = changes.filter(
-        F.col("action").isin(*PENDING) & F.col("dataset").isin(UNMAPPED, *landed)
-    )
+    done = changes.where(PENDING).where(F.col("dataset").isin(UNMAPPED, *landed))
     append_state(state_rows(done, bucket, _without_zone(run_ts)), state_path)
     return IngestRun(ingest_counts(changes), results_table(spark, results, fail_on_error))
 

@@ -92,10 +92,10 @@ def refine(
     df = apply_types(df, types or {}, on_bad_value, _BAD_CELLS)
 
     aside = [_BAD_CELLS]
-    extra = {_BAD_CELLS: F.sum(_BAD_CELLS)}
+    extra = {_BAD_CELLS: f"sum({_BAD_CELLS})"}
     if ignore_lineage:
         aside.append(source_file)
-        extra[source_file] = F.min(source_file)
+        extra[source_file] = f"min({source_file})"
     distinct = count_copies(df, _COPIES, aside, extra)
     return distinct.select(
         *names, F.lit(run_ts).alias(ingested_at), F.col(_COPIES), F.col(_BAD_CELLS)
