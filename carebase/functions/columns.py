@@ -28,10 +28,28 @@ def quoted(name: str) -> str:
 def null_if_missing(name: str) -> str:
     """The text as it stands, or null where it is only a missing-value token.
 
-    Blanks around a token do not matter; a kept value keeps its own blanks.
+    Blanks around a token do not matter; a kept value keeps its own blanks. Texts longer
+    than any token are kept without folding their case.
     """
     column = quoted(name)
-    return f"case when lower(trim({column})) not in {MISSING_TOKENS} then {column} end"
+    text, longest = f"trim({column})", max(map(len, MISSING_TOKENS))
+    kept = f"octet_length({text}) > {longest} or lower({text}) not in {MISSING_TOKENS}"
+    return f"case when {kept} then {column} end"
+
+
+def number_or_date(name: str, data_type: str, on_bad_value: str = "raise") -> str:
+    """Text as ``data_type``, missing-value tokens as null.
+
+    The cast is tried first and tokens are looked for only where it finds nothing, since
+    most cells of a number column are numbers. ``nan`` is a token too, but would pass as a
+    double.
+    """
+    value = f"try_cast({quoted(name)} as {data_type})"
+    if data_type in ("double", "float"):
+        value = f"nullif({value}, {data_type}('NaN'))"
+    if check_bad_value_mode(on_bad_value) == "null":
+        return value
+    return f"coalesce({value}, cast({null_if_missing(name)} as {data_type}))"
 
 
 def typed(name: str, data_type: str, on_bad_value: str = "raise") -> str:

@@ -7,7 +7,7 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from carebase.functions.columns import null_if_missing, quoted, typed
+from carebase.functions.columns import null_if_missing, number_or_date, quoted
 
 SOURCE_FILE = "source_file"
 INGESTED_AT = "ingested_at_utc"
@@ -30,23 +30,27 @@ def standardize_missing(
     )
 
 
-def apply_types(
-    df: DataFrame, types: Mapping[str, str], on_bad_value: str, bad_cells: str
+def clean(
+    df: DataFrame,
+    types: Mapping[str, str],
+    on_bad_value: str,
+    bad_cells: str,
+    skip: Collection[str] = (SOURCE_FILE, INGESTED_AT),
 ) -> DataFrame:
-    """Casts the text columns named in ``types``.
+    """``standardize_missing``, with the text columns named in ``types`` cast as well.
 
-    Adds a column with the number of cells that did not fit; it is 0 throughout unless bad
-    cells become null.
+    Adds a column with the number of cells that did not fit their type; it is 0 throughout
+    unless bad cells become null.
     """
-    casts = {
-        name: typed(name, types[name], on_bad_value) for name in text_columns(df) if name in types
-    }
-    lost = [
-        f"cast({quoted(name)} is not null and {cast} is null as int)"
-        for name, cast in casts.items()
-        if on_bad_value == "null"
-    ]
-    return df.selectExpr(
-        *[f"{casts.get(name, quoted(name))} as {quoted(name)}" for name in df.columns],
-        f"{' + '.join(lost) or '0'} as {bad_cells}",
-    )
+    texts = set(text_columns(df)).difference(skip)
+    cells, lost = [], []
+    for name in df.columns:
+        cell = quoted(name)
+        if name in texts and name in types:
+            cell = number_or_date(name, types[name], on_bad_value)
+            lost.append(f"cast({cell} is null and {null_if_missing(name)} is not null as int)")
+        elif name in texts:
+            cell = null_if_missing(name)
+        cells.append(f"{cell} as {quoted(name)}")
+    count = " + ".join(lost) if lost and on_bad_value == "null" else "0"
+    return df.selectExpr(*cells, f"{count} as {bad_cells}")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from carebase.datasets import DECLARED_TYPES, dataset_path, pick_datasets
 from carebase.functions.columns import check_bad_value_mode
 from carebase.functions.names import normalize_names
-from carebase.operators.cleaning import INGESTED_AT, SOURCE_FILE, apply_types, standardize_missing
+from carebase.operators.cleaning import INGESTED_AT, SOURCE_FILE, clean
 from carebase.operators.dedupe import count_copies
 from carebase.sources.raw import NoColumns, is_missing_source, scan_csv
 from carebase.sources.refined import check_write_mode, write_refined
@@ -88,8 +88,7 @@ def refine(
     *names, ingested_at = normalize_names(headers)
     source_file = names[-1]
     df = raw.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)).toDF(*names)
-    df = standardize_missing(df, skip=(source_file,))
-    df = apply_types(df, types or {}, on_bad_value, _BAD_CELLS)
+    df = clean(df, types or {}, on_bad_value, _BAD_CELLS, skip=(source_file,))
 
     aside = [_BAD_CELLS]
     extra = {_BAD_CELLS: f"sum({_BAD_CELLS})"}

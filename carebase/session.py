@@ -20,6 +20,9 @@ def session_builder(app: str = "carebase") -> SparkSession.Builder:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # The JVM does not compile methods of more than 8000 bytes. The cleaning of a wide
+        # table generates larger ones unless Spark is told to split them.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
 
 
