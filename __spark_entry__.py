@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from carebase import fixtures
 from carebase.datasets import (
+    CLAIMS,
     CONTRACTOR_HOURS,
     EMPLOYEE_HOURS,
     HOURS,
     MISSING_TOKENS,
     READMISSION_MEASURES,
     ROUTES,
+    STAFFING,
     UNMAPPED,
 )
 from carebase.fixtures import with_ctes
@@ -24,9 +26,9 @@ from carebase.operators.cleaning import standardize_missing
 from carebase.operators.state import upsert_state
 from carebase.plans import curated
 from carebase.plans.refine import RefineOptions, refine_all
-from carebase.plans.views import write_views
+from carebase.plans.views import curated_views, register_views, write_views
 from carebase.session import scratch_path
-from carebase.sources.refined import read_refined
+from carebase.sources.refined import read_refined, write_refined
 
 FLAGSHIP = "staffing_vs_readmission"
 SMALL_TABLES = "/root/testdata/sf0.001"
@@ -173,6 +175,15 @@ def written_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report
 
 
+def registered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refined tables written out, the five views registered over them, one read with SQL."""
+    root = scratch_path(spark, "refined")
+    write_refined(fixtures.staffing(spark, sf_dir), root, STAFFING)
+    write_refined(fixtures.claims(spark, sf_dir), root, CLAIMS)
+    register_views(spark, curated_views(root))
+    return spark.sql("SELECT * FROM staffing_vs_patient_load")
+
+
 # --- registry ---------------------------------------------------------------
 def entry(spark: SparkSession) -> DataFrame:
     return queries()[FLAGSHIP](spark, SMALL_TABLES)
@@ -187,6 +198,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "staffing_vs_readmission": staffing_vs_readmission,
         "latest_claims": latest_claims,
         "written_views": written_views,
+        "registered_view": registered_view,
         "route_files": route_files,
         "unmapped_files": unmapped_files,
         "name_clashes": name_clashes,
@@ -307,12 +319,13 @@ def oracle_sql() -> dict[str, str]:
             "staffing",
             "claims",
         ),
+        "registered_view": with_ctes(_LOAD, "staffing"),
         "route_files": with_ctes(
             f"SELECT file_id, file_name, dataset, target_path, is_unmapped FROM ({_ROUTED})",
             "listing",
         ),
         "unmapped_files": with_ctes(
-            f"SELECT count(*) AS files, count_if(is_unmapped) AS unmapped FROM ({_ROUTED})",
+            f"SELECT count(*) AS files, count(*) FILTER (is_unmapped) AS unmapped FROM ({_ROUTED})",
             "listing",
         ),
         "name_clashes": with_ctes(
@@ -332,9 +345,9 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT file_id, file_name, modified_time FROM done"""
         ),
         "ingest_counts": listed(
-            f"""SELECT count_if(action <> 'unchanged') AS processed,
-                       count_if(action = 'unchanged') AS skipped,
-                       count_if(action <> 'unchanged' AND is_unmapped) AS unmapped
+            f"""SELECT count(*) FILTER (action <> 'unchanged') AS processed,
+                       count(*) FILTER (action = 'unchanged') AS skipped,
+                       count(*) FILTER (action <> 'unchanged' AND is_unmapped) AS unmapped
             FROM ({_ACTIONS})"""
         ),
         "stale_datasets": listed(

@@ -76,7 +76,8 @@ def ingest(
 
     landed = [row["dataset"] for row in results if row["status"] == PROCESSED]
     done = changes.where(PENDING).where(F.col("dataset").isin(UNMAPPED, *landed))
-    append_state(state_rows(done, bucket, _without_zone(run_ts)), state_path)
+    if not done.isEmpty():
+        append_state(state_rows(done, bucket, _without_zone(run_ts)), state_path)
     return IngestRun(ingest_counts(changes), results_table(spark, results, fail_on_error))
 
 

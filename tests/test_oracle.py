@@ -32,6 +32,16 @@ def duck():
     connection.close()
 
 
+DUCKDB_TYPES = {
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def comparable(rows, columns):
     order = sorted(range(len(columns)), key=columns.__getitem__)
     return sorted(([row[i] for i in order] for row in rows), key=repr)
@@ -41,7 +51,9 @@ def comparable(rows, columns):
 def test_matches_duckdb(spark, duck, name):
     ours = registry.queries()[name](spark, DATA)
     theirs = duck.sql(registry.oracle_sql()[name])
-    assert sorted(ours.columns) == sorted(theirs.columns)
+    assert {column: DUCKDB_TYPES[kind] for column, kind in ours.dtypes} == dict(
+        zip(theirs.columns, map(str, theirs.types), strict=True)
+    )
     rows = ours.collect()
     assert comparable(rows, ours.columns) == comparable(theirs.fetchall(), theirs.columns)
     assert len(rows) == ROWS.get(name, len(rows)) > 0
