@@ -15,7 +15,14 @@ from carebase.functions.columns import check_bad_value_mode
 from carebase.functions.names import normalize_names
 from carebase.operators.cleaning import INGESTED_AT, SOURCE_FILE, clean
 from carebase.operators.dedupe import count_copies
-from carebase.sources.raw import NoColumns, is_missing_source, scan_csv
+from carebase.sources.raw import (
+    LARGE_FILE,
+    NoColumns,
+    has_large_file,
+    is_line_based,
+    is_missing_source,
+    scan_csv,
+)
 from carebase.sources.refined import check_write_mode, write_refined
 
 logger = logging.getLogger(__name__)
@@ -45,7 +52,9 @@ class RefineOptions:
 
     ``types``: column types per dataset, by normalised name. A dataset listed here is read
     as text and cast by name; any other one is inferred, which costs one more pass.
-    ``single_line``: datasets whose fields hold no line breaks, so that files can be split.
+    ``single_line``: datasets known to have no line breaks inside fields, so that their files
+    can be split. Others are looked through once if they have a file above ``large_file``
+    bytes, and are split if that shows every line to be a record.
     ``ignore_lineage``: rows equal but for their source file are duplicates too. By default
     they are not.
     ``on_bad_value``: ``raise`` fails the dataset when a declared type does not fit,
@@ -60,6 +69,7 @@ class RefineOptions:
     on_bad_value: str = "raise"
     types: Mapping[str, Mapping[str, str]] = field(default_factory=lambda: DECLARED_TYPES)
     single_line: frozenset[str] = frozenset()
+    large_file: int = LARGE_FILE
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "mode", check_write_mode(self.mode))
@@ -111,12 +121,16 @@ def refine_paths(
 ) -> dict:
     """Refines one dataset and returns its result row. Errors are raised."""
     types = options.types.get(dataset)
+    splittable = dataset in options.single_line or (
+        has_large_file(spark, paths, options.large_file)
+        and is_line_based(spark, paths, options.sep)
+    )
     raw = scan_csv(
         spark,
         paths,
         header=options.header,
         sep=options.sep,
-        multi_line=dataset not in options.single_line,
+        multi_line=not splittable,
         infer=types is None,
     )
     if not raw.columns:

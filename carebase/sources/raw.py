@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carebase.datasets import ID_COLUMNS
@@ -13,6 +14,10 @@ from carebase.functions.names import normalize_name
 MISSING_SOURCE_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
+# Above this size a file is worth a look at whether it can be split.
+LARGE_FILE = 512 * 2**20
+
+
 class NoColumns(ValueError):
     """The source exists but has no header and no rows."""
 
@@ -38,8 +43,8 @@ def scan_csv(
     turn into numbers.
 
     ``multi_line=True`` is right for every file, but Spark then gives each file to one
-    task. Turn it off for sources known to have no line breaks inside fields, so that
-    large files are split.
+    task. Turn it off for sources without line breaks inside fields, so that large files
+    are split; ``is_line_based`` can tell.
     """
     reader = (
         spark.read.option("header", header)
@@ -62,3 +67,27 @@ def scan_csv(
     if not df.columns or schema == df.schema:
         return df
     return reader.option("inferSchema", False).schema(schema).csv(paths)
+
+
+def has_large_file(spark: SparkSession, paths: str | list[str], large: int = LARGE_FILE) -> bool:
+    """Whether any file is larger than ``large`` bytes. Looks at file attributes only."""
+    files = spark.read.format("binaryFile").load(paths)
+    return not files.where(F.col("length") > large).select("path").isEmpty()
+
+
+def is_line_based(spark: SparkSession, paths: str | list[str], sep: str = ",") -> bool:
+    """Whether each line of the source is a whole record, so that splitting it is safe.
+
+    True only if every field of every line is either free of quotes or quoted from end to
+    end. Lines of blanks only are not safe either: Spark drops them when it splits files,
+    and keeps them as rows when it does not. One parallel pass over the text, which ends
+    early at the first such line.
+    """
+    plain = rf'[^"\r\Q{sep}\E]*+'
+    quoted = r'"[^"\r]*+(?:""[^"\r]*+)*+"'
+    record = rf"^(?:{quoted}|{plain})(?:\Q{sep}\E(?:{quoted}|{plain}))*+\r?\z"
+    lines = spark.read.option("lineSep", "\n").text(paths)
+    line = F.col("value")
+    unclear = line.rlike(r'["\r]') & ~line.rlike(record)
+    blank = line.rlike(r"^[\x00-\x20]+\z") & (line != "\r")
+    return lines.where(unclear | blank).isEmpty()

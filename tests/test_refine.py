@@ -7,7 +7,7 @@ from carebase.datasets import CLAIMS, DATASETS, HOURS, STAFFING
 from carebase.operators.cleaning import standardize_missing
 from carebase.operators.dedupe import dedupe_report, drop_duplicates
 from carebase.plans.refine import RefineError, RefineOptions, refine_all
-from carebase.sources.raw import is_missing_source, scan_csv
+from carebase.sources.raw import has_large_file, is_line_based, is_missing_source, scan_csv
 from carebase.sources.refined import read_refined, register_refined
 
 OTHER = "nh_provider_info"
@@ -208,6 +208,48 @@ def test_single_line_files_are_split(spark, roots):
     assert row.rows_out == 20000
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("a,b\n1,2\n", True),
+        ('a,b\r\n"x, ""y""",2\r\n', True),
+        ('a,b\n"",""\n"""",x\n', True),
+        ('a,b\n"x\ny",2\n', False),
+        ('a,b\n5" and "x\ny",2\n', False),
+        ('a,b\n5",2\n', False),
+        ("a,b\n1\r,2\n", False),
+        ('a,b\n"x" y,2\n', False),
+        ("a,b\n \n1,2\n", False),
+        ("a,b\r\n\r\n1,2\r\n", True),
+    ],
+)
+def test_line_based_sources_are_recognised(spark, roots, text, expected):
+    folder = put(roots[0], OTHER, a=text)
+    assert is_line_based(spark, str(folder)) is expected
+    assert is_line_based(spark, str(folder), sep="|") in (expected, False)
+
+
+def test_large_line_based_files_are_split_with_equal_results(spark, roots):
+    lines = [f'{i % 900},"x, ""{i % 900}"""' for i in range(3000)]
+    put(roots[0], OTHER, a="k,v\n" + "\n".join(lines) + "\n", b="k,v\n1,y\n")
+    folder = str(roots[0] / OTHER)
+    assert not has_large_file(spark, folder) and has_large_file(spark, folder, 1000)
+    assert not has_large_file(spark, folder, 10**6)
+    counts = []
+    for large in (1000, 10**9):
+        row = run(spark, roots, OTHER, large_file=large)[OTHER]
+        df = refined(spark, roots, OTHER)
+        counts.append((row.rows_in, row.rows_out, sorted(map(tuple, df.collect()))))
+    assert counts[0] == counts[1]
+    assert counts[0][:2] == (3001, 901)
+
+
+def test_large_files_with_line_breaks_stay_whole(spark, roots):
+    put(roots[0], OTHER, a='k,v\n1,"x\ny"\n')
+    run(spark, roots, OTHER, large_file=0)
+    assert refined(spark, roots, OTHER).first().v == "x\ny"
+
+
 @pytest.mark.parametrize("bad", [{"mode": "ignore"}, {"on_bad_value": "skip"}])
 def test_options_are_checked(bad):
     with pytest.raises(ValueError):
