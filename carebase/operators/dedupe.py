@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def drop_duplicates(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+    """One of each group of equal rows; ``subset`` limits the comparison to some columns."""
+    return df.dropDuplicates(list(subset) if subset else None)
 
 
 def count_copies(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from carebase.datasets import ROUTES, UNMAPPED
 
@@ -23,14 +24,15 @@ def dataset_of(file_name: str = "file_name") -> str:
 def route_files(listing: DataFrame, prefix: str = "") -> DataFrame:
     """Adds ``dataset``, ``target_path`` and ``is_unmapped`` to every CSV of a listing."""
     folder = prefix.strip("/")
-    parts = [f"'{folder}'"] * bool(folder) + ["dataset", "file_name"]
+    parts = [F.lit(folder)] * bool(folder) + [F.col("dataset"), F.col("file_name")]
     return (
         csv_files(listing)
         .selectExpr("*", f"{dataset_of()} as dataset")
-        .selectExpr(
-            "*",
-            f"concat_ws('/', {', '.join(parts)}) as target_path",
-            f"dataset = '{UNMAPPED}' as is_unmapped",
+        .withColumns(
+            {
+                "target_path": F.concat_ws("/", *parts),
+                "is_unmapped": F.col("dataset") == UNMAPPED,
+            }
         )
     )
 

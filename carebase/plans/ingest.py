@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,9 +78,10 @@ def ingest(
     landed = [row["dataset"] for row in results if row["status"] == PROCESSED]
     done = changes.where(PENDING).where(F.col("dataset").isin(UNMAPPED, *landed))
     if not done.isEmpty():
-        append_state(state_rows(done, bucket, _without_zone(run_ts)), state_path)
+        append_state(state_rows(done, bucket, _utc_without_zone(run_ts)), state_path)
     return IngestRun(ingest_counts(changes), results_table(spark, results, fail_on_error))
 
 
-def _without_zone(run_ts: str) -> str:
-    return run_ts.removesuffix("Z").removesuffix("+00:00")
+def _utc_without_zone(run_ts: str) -> str:
+    moment = datetime.fromisoformat(run_ts)
+    return (moment.astimezone(UTC) if moment.tzinfo else moment).replace(tzinfo=None).isoformat()

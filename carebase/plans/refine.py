@@ -97,7 +97,8 @@ def refine(
     headers = [*raw.columns, SOURCE_FILE, INGESTED_AT]
     *names, ingested_at = normalize_names(headers)
     source_file = names[-1]
-    df = raw.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)).toDF(*names)
+    file_path = raw.metadataColumn("_metadata").getField("file_path")
+    df = raw.select("*", file_path.alias(SOURCE_FILE)).toDF(*names)
     df = clean(df, types or {}, on_bad_value, _BAD_CELLS, skip=(source_file,))
 
     aside = [_BAD_CELLS]

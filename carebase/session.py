@@ -39,10 +39,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Executors on other machines must see what is written there, so only a local
     session without that setting gets a temporary folder of its own.
     """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_scratch()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -260,6 +260,28 @@ def test_a_failed_dataset_is_tried_again(spark, tmp_path):
     assert [row.dataset for row in run.results.collect()] == [STAFFING]
 
 
+def test_odd_file_names_and_literals(spark, tmp_path):
+    folder = tmp_path / "in coming"
+    folder.mkdir()
+    for i, name in enumerate(("NH_Ownership_(1) a.csv", "NH_Ownership_it's.csv", "NH_Ownership_%20.csv")):
+        put(folder, name, f"k\n{i}\n", 1)
+    state_path, refined = str(tmp_path / "state"), str(tmp_path / "refined")
+    ingest(
+        spark,
+        list_files(spark, str(folder)),
+        state_path,
+        refined,
+        bucket="o'b",
+        prefix="/it's/",
+        run_ts="2024-05-01T02:00:00+02:00",
+    )
+    assert sorted(r.k for r in read_refined(spark, refined, "nh_ownership").collect()) == [0, 1, 2]
+    rows = read_state(spark, state_path).collect()
+    assert {row.bucket for row in rows} == {"o'b"}
+    assert {row.last_processed_at for row in rows} == {dt.datetime(2024, 5, 1)}
+    assert all(row.key == f"it's/nh_ownership/{row.file_name}" for row in rows)
+
+
 def test_views_are_built_in_order_up_to_the_first_failure(spark):
     built = []
 

@@ -192,6 +192,13 @@ def test_names_that_clash_with_lineage_or_each_other(spark, roots):
     ]
 
 
+def test_header_named_like_the_metadata_column(spark, roots):
+    put(roots[0], OTHER, a="_metadata,k.x\n1,2\n")
+    run(spark, roots, OTHER)
+    row = refined(spark, roots, OTHER).first()
+    assert (row.metadata, row.kx) == (1, 2) and row.source_file.endswith("/a.csv")
+
+
 def test_single_line_files_are_split(spark, roots):
     folder = put(roots[0], OTHER, a="k,v\n" + "".join(f"{i},x\n" for i in range(20000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
@@ -283,6 +290,11 @@ def test_duplicates_compare_nulls_nans_and_zeros(spark):
     assert tuple(report) == (6, 3, 3)
 
 
+def test_duplicates_by_some_columns(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], ["a", "b"])
+    assert drop_duplicates(df, ["a"]).count() == 2
+
+
 def test_dedupe_report_of_nothing(spark):
     assert tuple(dedupe_report(spark.createDataFrame([], "a string")).first()) == (0, 0, 0)
 
