@@ -1,4 +1,4 @@
-"""Command line of the three jobs, for ``spark-submit``.
+"""Command line of the three jobs, for ``spark-submit`` with this package installed.
 
     spark-submit carebase/jobs.py refine --raw s3a://lake/raw --refined s3a://lake/refined
     spark-submit carebase/jobs.py ingest --inbox s3a://inbox --state s3a://lake/state \\

@@ -39,4 +39,4 @@ def route_files(listing: DataFrame, prefix: str = "") -> DataFrame:
 
 def name_clashes(routed: DataFrame) -> DataFrame:
     """Target paths that more than one file of the listing would take."""
-    return routed.groupBy("target_path").count().where("count > 1").withColumnRenamed("count", "files")
+    return routed.groupBy("target_path").agg(F.expr("count(*) as files")).where("files > 1")

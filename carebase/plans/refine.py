@@ -15,10 +15,11 @@ from carebase.functions.columns import check_bad_value_mode
 from carebase.functions.names import normalize_names
 from carebase.operators.cleaning import INGESTED_AT, SOURCE_FILE, clean
 from carebase.operators.dedupe import count_copies
+from carebase.session import shuffle_partitions_for
 from carebase.sources.raw import (
     LARGE_FILE,
     NoColumns,
-    has_large_file,
+    file_sizes,
     is_line_based,
     is_missing_source,
     scan_csv,
@@ -122,9 +123,9 @@ def refine_paths(
 ) -> dict:
     """Refines one dataset and returns its result row. Errors are raised."""
     types = options.types.get(dataset)
+    total, largest = file_sizes(spark, paths)
     splittable = dataset in options.single_line or (
-        has_large_file(spark, paths, options.large_file)
-        and is_line_based(spark, paths, options.sep)
+        largest > options.large_file and is_line_based(spark, paths, options.sep)
     )
     raw = scan_csv(
         spark,
@@ -152,7 +153,8 @@ def refine_paths(
         F.count(F.lit(1)).alias("rows_out"),
         F.sum(_BAD_CELLS).alias("bad_cells"),
     ).drop(_COPIES, _BAD_CELLS)
-    path = write_refined(df, refined_root, dataset, options.mode)
+    with shuffle_partitions_for(spark, total):
+        path = write_refined(df, refined_root, dataset, options.mode)
     seen = {name: value or 0 for name, value in counts.get.items()}
     return _result(
         dataset,

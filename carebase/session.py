@@ -6,10 +6,16 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+PARTITION_BYTES = 256 * 2**20
+# Beyond this number the bookkeeping of a shuffle outweighs smaller partitions, which spill.
+MAX_PARTITIONS = 50_000
+
 
 def session_builder(app: str = "carebase") -> SparkSession.Builder:
     """Settings the library is tuned for. Sizes (memory, partitions) are left to the cluster."""
@@ -20,12 +26,30 @@ def session_builder(app: str = "carebase") -> SparkSession.Builder:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
         # The JVM does not compile methods of more than 8000 bytes. The cleaning of a wide
         # table generates larger ones unless Spark is told to split them.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
 
 
+@contextmanager
+def shuffle_partitions_for(spark: SparkSession, data_bytes: int) -> Iterator[None]:
+    """Enough shuffle partitions for a job that shuffles ``data_bytes``, never fewer than set.
+
+    Adaptive execution can merge small partitions of an aggregation, but not split large
+    ones, so the number has to be high enough from the start.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    needed = min(data_bytes // PARTITION_BYTES + 1, MAX_PARTITIONS)
+    spark.conf.set(name, max(int(before), needed))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @cache
 def _local_scratch() -> str:
     base = tempfile.mkdtemp(prefix="carebase-")

@@ -69,10 +69,10 @@ def scan_csv(
     return reader.option("inferSchema", False).schema(schema).csv(paths)
 
 
-def has_large_file(spark: SparkSession, paths: str | list[str], large: int = LARGE_FILE) -> bool:
-    """Whether any file is larger than ``large`` bytes. Looks at file attributes only."""
+def file_sizes(spark: SparkSession, paths: str | list[str]) -> tuple[int, int]:
+    """Bytes of all files together and of the largest one. Looks at file attributes only."""
     files = spark.read.format("binaryFile").load(paths)
-    return not files.where(F.col("length") > large).select("path").isEmpty()
+    return tuple(files.selectExpr("nvl(sum(length), 0)", "nvl(max(length), 0)").first())
 
 
 def is_line_based(spark: SparkSession, paths: str | list[str], sep: str = ",") -> bool:

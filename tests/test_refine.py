@@ -7,7 +7,8 @@ from carebase.datasets import CLAIMS, DATASETS, HOURS, STAFFING
 from carebase.operators.cleaning import standardize_missing
 from carebase.operators.dedupe import dedupe_report, drop_duplicates
 from carebase.plans.refine import RefineError, RefineOptions, refine_all
-from carebase.sources.raw import has_large_file, is_line_based, is_missing_source, scan_csv
+from carebase.session import shuffle_partitions_for
+from carebase.sources.raw import file_sizes, is_line_based, is_missing_source, scan_csv
 from carebase.sources.refined import read_refined, register_refined
 
 OTHER = "nh_provider_info"
@@ -240,8 +241,8 @@ def test_large_line_based_files_are_split_with_equal_results(spark, roots):
     lines = [f'{i % 900},"x, ""{i % 900}"""' for i in range(3000)]
     put(roots[0], OTHER, a="k,v\n" + "\n".join(lines) + "\n", b="k,v\n1,y\n")
     folder = str(roots[0] / OTHER)
-    assert not has_large_file(spark, folder) and has_large_file(spark, folder, 1000)
-    assert not has_large_file(spark, folder, 10**6)
+    sizes = [path.stat().st_size for path in (roots[0] / OTHER).iterdir()]
+    assert file_sizes(spark, folder) == (sum(sizes), max(sizes))
     counts = []
     for large in (1000, 10**9):
         row = run(spark, roots, OTHER, large_file=large)[OTHER]
@@ -251,6 +252,26 @@ def test_large_line_based_files_are_split_with_equal_results(spark, roots):
     assert counts[0][:2] == (3001, 901)
 
 
+def test_shuffle_partitions_follow_the_input(spark):
+    name = "spark.sql.shuffle.partitions"
+    for size, expected in ((0, "8"), (5 * 2**30, "21"), (10**15, "50000")):
+        with pytest.raises(KeyError), shuffle_partitions_for(spark, size):
+            assert spark.conf.get(name) == expected
+            raise KeyError
+        assert spark.conf.get(name) == "8"
+
+
+def test_a_large_source_is_shuffled_into_more_partitions(spark, roots, monkeypatch):
+    put(roots[0], OTHER, a="k\n" + "".join(f"{i}\n" for i in range(1000)))
+    monkeypatch.setattr("carebase.session.PARTITION_BYTES", 200)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run(spark, roots, OTHER)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((roots[1] / OTHER).glob("*.parquet"))) == 3890 // 200 + 1
+
+
 def test_large_files_with_line_breaks_stay_whole(spark, roots):
     put(roots[0], OTHER, a='k,v\n1,"x\ny"\n')
     run(spark, roots, OTHER, large_file=0)
