@@ -29,10 +29,12 @@ def sliced_left_join(
 
     ``right_keys`` is any frame with the same distinct (``key``, ``slice_on``) values as
     ``right``; it only has to be cheaper to compute. Its slices are folded into one number
-    per key in front of the shuffle.
+    per key in front of the shuffle. One slice is the plain join.
     """
     if not 1 <= slices <= MAX_SLICES:
         raise ValueError(f"slices must be from 1 to {MAX_SLICES}, not {slices}")
+    if slices == 1:
+        return left.join(right, key, "left")
     slice_of = f"cast(pmod(xxhash64({', '.join(slice_on)}), {slices}) as int)"
     present = right_keys.groupBy(key).agg(F.expr(f"bit_or(shiftleft(1L, {slice_of}))").alias(_MASK))
     found = f"filter(sequence(0, {slices - 1}), i -> bit_get({_MASK}, i) = 1)"
