@@ -30,6 +30,14 @@ from carebase.plans.views import curated_views, register_views, write_views
 from carebase.session import scratch_path
 from carebase.sources.refined import read_refined, write_refined
 
+try:
+    import corpus_pipeline
+    from carebase.llm import queries as llm
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "carebase.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 FLAGSHIP = "staffing_vs_readmission"
 SMALL_TABLES = "/root/testdata/sf0.001"
 
@@ -190,7 +198,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    corpus = llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {}
+    return corpus | {
         "total_nurse_hours": total_nurse_hours,
         "employee_vs_contractor_ratio": employee_vs_contractor_ratio,
         "staffing_vs_patient_load": staffing_vs_patient_load,
@@ -301,7 +310,10 @@ def oracle_sql() -> dict[str, str]:
     def listed(query: str) -> str:
         return with_ctes(query, "listing", "state")
 
-    return {
+    corpus = dict(llm.ORACLE_SQL) if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        corpus["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return corpus | {
         "total_nurse_hours": with_ctes(_MONTHLY_HOURS, "staffing"),
         "employee_vs_contractor_ratio": with_ctes(_MONTHLY_SHARE, "staffing"),
         "staffing_vs_patient_load": with_ctes(_LOAD, "staffing"),
