@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from carebase.llm.decontaminate import OP3_SQL, op3_decontamination
+from carebase.llm.mixing import OP4_SQL, op4_source_mix
+from carebase.llm.pseudonyms import op6_pseudonyms
+from carebase.llm.secret_links import op5_secret_scan
+from carebase.llm.url_filter import op1_url_filter
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op3_decontamination": op3_decontamination,
+    "op4_source_mix": op4_source_mix,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_pseudonyms": op6_pseudonyms,
 }
 
+# Operators with fitted models or permutations are tested against brute force in tests/llm.
 ORACLE_SQL = {
     "op3_decontamination": OP3_SQL,
+    "op4_source_mix": OP4_SQL,
 }

@@ -152,15 +152,14 @@ def fit_weights(labelled: DataFrame, epochs: int = EPOCHS) -> DataFrame:
         zip_with(alpha, zip_with(rows, kernel, (r, k) -> struct(r.y AS y, k AS k)), (a, r) ->
           a * {1 - RATE * DECAY}D + {RATE}D / size(rows) * (r.y - 1D / (1D + exp(-aggregate(
             zip_with(alpha, r.k, (p, q) -> p * q), 0D, (s, x) -> s + x)))))"""
+    # Stored, or else the optimizer would compute the matrix anew in every epoch.
+    compared = written(together.selectExpr("rows", f"{kernel} AS kernel"), "compared")
+    zero = "transform(rows, r -> 0D)"
     fitted = (
-        together.selectExpr("rows", f"{kernel} AS kernel")
-        .selectExpr(
-            "rows",
-            f"aggregate(sequence(1, {epochs}), transform(rows, r -> 0D), (alpha, e) -> {step}) AS alpha",
-        )
-        .selectExpr(
-            "explode(arrays_zip(rows, alpha)) AS row",
+        compared.selectExpr(
+            "rows", f"aggregate(sequence(1, {epochs}), {zero}, (alpha, e) -> {step}) AS alpha"
         )
+        .selectExpr("explode(arrays_zip(rows, alpha)) AS row")
         .selectExpr("row.rows.grams AS grams", "row.alpha AS alpha")
     )
     fitted = written(fitted, "fitted")
