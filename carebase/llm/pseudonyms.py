@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carebase.llm.text import let
+
 ROUNDS = 8
 KEY = "carebase"
 DIGITS, LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
@@ -64,11 +66,6 @@ def _network(halves: tuple[Column, Column], moduli: tuple[Column, Column], tweak
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, one)
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _power(base: int, exponent: Column) -> Column:
     return F.round(F.pow(F.lit(float(base)), exponent)).cast("long")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,11 @@ NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WHITE = r"[\x20\x09-\x0D]+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, other characters as they are.
 

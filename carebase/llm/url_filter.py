@@ -20,6 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carebase.llm.text import let
 from carebase.session import written
 
 BUCKETS = 2**14
@@ -115,14 +116,17 @@ def gram_buckets(host: Column, path: Column) -> Column:
     """The distinct hash buckets of the character n-grams of host and path."""
 
     def grams(part: str, marked: Column, n: int) -> Column:
-        chars = F.split(marked, "")
-        starts = F.sequence(F.lit(1), F.greatest(F.size(chars) - n + 1, F.lit(1)))
-        return F.transform(
-            starts,
-            lambda i: F.pmod(
-                F.xxhash64(F.lit(part), F.array_join(F.slice(chars, i, n), "")), F.lit(BUCKETS)
-            ).cast("int"),
-        )
+        def of(chars: Column) -> Column:
+            starts = F.sequence(F.lit(1), F.greatest(F.size(chars) - n + 1, F.lit(1)))
+            return F.transform(
+                starts,
+                lambda i: F.pmod(
+                    F.xxhash64(F.lit(part), F.array_join(F.slice(chars, i, n), "")),
+                    F.lit(BUCKETS),
+                ).cast("int"),
+            )
+
+        return let(F.split(marked, ""), of)
 
     marked = {
         "host": F.concat(F.lit("^"), host, F.lit("$")),
