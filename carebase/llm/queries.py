@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from carebase.llm.decontaminate import OP3_SQL, op3_decontamination
+from carebase.llm.main_text import op2_main_text
+from carebase.llm.merkle import op8_merkle
 from carebase.llm.mixing import OP4_SQL, op4_source_mix
+from carebase.llm.near_duplicates import op9_near_duplicates
 from carebase.llm.pseudonyms import op6_pseudonyms
 from carebase.llm.secret_links import op5_secret_scan
 from carebase.llm.url_filter import op1_url_filter
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_main_text": op2_main_text,
     "op3_decontamination": op3_decontamination,
     "op4_source_mix": op4_source_mix,
     "op5_secret_scan": op5_secret_scan,
     "op6_pseudonyms": op6_pseudonyms,
+    "op8_merkle": op8_merkle,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 # Operators with fitted models or permutations are tested against brute force in tests/llm.
