@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from carebase.llm.decontaminate import OP3_SQL, op3_decontamination
+from carebase.llm.licenses import op10_license_scan
 from carebase.llm.main_text import op2_main_text
 from carebase.llm.merkle import op8_merkle
 from carebase.llm.mixing import OP4_SQL, op4_source_mix
@@ -10,6 +11,7 @@ from carebase.llm.near_duplicates import op9_near_duplicates
 from carebase.llm.pseudonyms import op6_pseudonyms
 from carebase.llm.secret_links import op5_secret_scan
 from carebase.llm.url_filter import op1_url_filter
+from carebase.llm.weak_quality import op7_weak_quality
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
@@ -18,8 +20,10 @@ QUERIES = {
     "op4_source_mix": op4_source_mix,
     "op5_secret_scan": op5_secret_scan,
     "op6_pseudonyms": op6_pseudonyms,
+    "op7_weak_quality": op7_weak_quality,
     "op8_merkle": op8_merkle,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_license_scan": op10_license_scan,
 }
 
 # Operators with fitted models or permutations are tested against brute force in tests/llm.

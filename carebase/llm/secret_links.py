@@ -16,8 +16,6 @@ parts. Other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -114,9 +112,7 @@ def linked_weak_spans(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     parts = placed.where(_is_strong() | ~overlaps).select(
         "row", "kind", "start", "stop", bucket.alias("bucket")
     )
-    role = F.get(
-        F.array(*(F.lit(ROLES.get(kind)) for kind in KINDS)), F.col("kind")
-    )
+    role = F.get(F.array(*(F.lit(ROLES.get(kind)) for kind in KINDS)), F.col("kind"))
     complete = (
         parts.select("row", "bucket", "start", role.alias("role"))
         .where("role IS NOT NULL")
@@ -199,8 +195,10 @@ def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
         starts, ends, lambda s, e: F.substring(text, (s + 1).cast("int"), (e - s).cast("int"))
     )
     masked = F.when(cuts.isNull(), text).otherwise(F.array_join(kept, mask))
-    length = F.length(masked).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
-    changed = {"text": masked, "n_chars": F.when(cuts.isNull(), docs["n_chars"]).otherwise(length) if length is not None else None}
+    changed = {"text": masked}
+    if "n_chars" in docs.columns:
+        length = F.length(masked).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(cuts.isNull(), docs["n_chars"]).otherwise(length)
     return joined.select(*(changed[c].alias(c) if c in changed else docs[c] for c in docs.columns))
 
 
@@ -228,5 +226,3 @@ def op5_secret_scan(spark, sf_dir: str) -> DataFrame:
         listed(F.col("spans")).alias("spans"),
     )
 
-
-NOTHING_FOUND = hashlib.sha256(b"").hexdigest()

@@ -9,19 +9,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from carebase.llm.decontaminate import decontaminate
+from carebase.llm.mixing import mixed_documents
+from carebase.llm.near_duplicates import without_near_duplicates
+from carebase.llm.secret_links import redact
+from carebase.llm.weak_quality import keep_good
 from carebase.session import written
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of low quality and toxic ones."""
+    return keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near duplicates."""
+    return without_near_duplicates(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that contain a window of a benchmark item."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks secrets in the texts; all documents stay."""
+    return redact(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes words of, with their number of words to take."""
+    return mixed_documents(docs)
+
+
 STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
+    ("source_mix", source_mix),
 ]
 
-# Fitted weights and seeded samples are not expressed in SQL; tests/llm checks every stage.
+# A fitted classifier decides the first stage, so tests/llm checks all stages by brute force.
 ORACLE_SQL = None
 
 
