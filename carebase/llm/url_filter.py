@@ -25,7 +25,7 @@ from carebase.session import written
 
 BUCKETS = 2**14
 GRAMS = (3, 4, 5)
-EPOCHS = 300
+EPOCHS = 150
 RATE = 2.0
 DECAY = 0.002
 # The fit compares all pairs of labelled rows, so their number is bounded.
@@ -45,48 +45,34 @@ RULES = (
     Rule("allow", "org", "/fr/"),
 )
 
-# The labelled table. Hosts of unwanted and of ordinary sites.
-BLOCKED_HOSTS = (
-    "casino-win.example.com", "online-casino.example.org", "lucky-casino.example.net",
-    "free-bets.example.com", "sports-bets.example.org", "betting-tips.example.net",
-    "poker-slots.example.com", "jackpot-slots.example.org", "win-jackpot.example.net",
-    "cheap-pills.example.com", "buy-pills.example.org", "pills-online.example.net",
-    "ads-track.example.com", "track-ads.example.org", "ad-click.example.net",
-    "spam-farm.example.com", "link-farm.example.org", "seo-spam.example.net",
-    "adult-x.example.com", "xxx-adult.example.org", "adult-cams.example.net",
-    "free-porn.example.com", "payday-loans.example.org", "cheap-loans.example.net",
-    "crack-warez.example.com", "warez-download.example.org", "free-torrents.example.net",
-    "fake-watches.example.com", "replica-bags.example.org", "miracle-diet.example.net",
-)
-ALLOWED_HOSTS = (
-    "news.example.com", "daily-paper.example.org", "weather.example.net",
-    "library.example.com", "university.example.org", "school.example.net",
-    "museum.example.com", "history.example.org", "science.example.net",
-    "cooking.example.com", "garden.example.org", "recipes.example.net",
-    "health.example.com", "clinic.example.org", "hospital.example.net",
-    "software.example.com", "docs.example.org", "wiki.example.net",
-    "travel.example.com", "railway.example.org", "maps.example.net",
-    "theatre.example.com", "orchestra.example.org", "letters.example.net",
-    "thermal.example.com", "nation.example.org", "thing.example.net",
-    "forum.example.com", "weblog.example.org", "council.example.net",
-    "thousand.example.com", "other.example.org", "stone.example.net",
-    "bookshop.example.com", "translation.example.org", "mathematics.example.net",
-)
+# Words in hosts of unwanted and of ordinary sites, and words that go with both.
+BLOCKED_WORDS = (
+    "casino bets betting poker slots jackpot lottery pills viagra ads adclick track tracker spam farm "
+    "adult xxx porn cams loans payday warez crack torrents replica"
+).split()
+ALLOWED_WORDS = (
+    "news paper weather library university school museum history science cooking garden recipes "
+    "health clinic hospital software docs wiki travel railway maps theatre orchestra letters forum "
+    "council bookshop translation mathematics nation thing stone other thousand thread ensemble"
+).split()
+COMPANIONS = "free online best my web win x shop city world cheap top".split()
+DOMAINS = ("example.com", "example.org", "example.net")
 PREFIXES = ("", "www.", "m.", "blog.")
 PATHS = ("/en/1207.html", "/de/348", "/fr/5512/", "/es/76", "/about", "/")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, blocked): each host above once, with one of the prefixes and paths in turn."""
-    rows = [
-        (host, blocked)
-        for blocked, hosts in ((1, BLOCKED_HOSTS), (0, ALLOWED_HOSTS))
-        for host in hosts
-    ]
-    values = ", ".join(
-        f"('https://{PREFIXES[i % len(PREFIXES)]}{host}{PATHS[i % len(PATHS)]}', {blocked})"
-        for i, (host, blocked) in enumerate(rows)
-    )
+    """(url, blocked): each word with three companions; all but the words occurs in both classes."""
+    rows = []
+    for blocked, listed in ((1, BLOCKED_WORDS), (0, ALLOWED_WORDS)):
+        for i, word in enumerate(listed):
+            for k, domain in enumerate(DOMAINS):
+                n = i + 5 * k
+                pair = (word, COMPANIONS[n % len(COMPANIONS)])
+                name = "-".join(pair if n % 2 else pair[::-1])
+                path = PATHS[(n + k) % len(PATHS)]
+                rows.append((f"https://{PREFIXES[n % len(PREFIXES)]}{name}.{domain}{path}", blocked))
+    values = ", ".join(f"('{url}', {blocked})" for url, blocked in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS t(url, blocked)")
 
 
