@@ -4,12 +4,14 @@
    shingle ranks the registers by a random permutation of its own, and the rounds stop as soon as
    no later rank can lower a register. Documents with equal sets become one class.
 2. Signatures of classes are cut into bands; classes that share a band meet in a bucket.
-3. In each bucket all members are compared with one pivot, the most central one. Pairs that agree
-   in too few registers are skipped, all others are confirmed on the full sets of their texts.
-   Members that are not yet connected stay and are compared with further pivots, or among
-   themselves once few are left, so no pair of a bucket in different groups goes uncompared. A
-   bucket of copies costs as many pairs as it has members.
-4. Confirmed links are grouped by hooking each class to its smallest neighbour and jumping to the
+3. In a small bucket all pairs are candidates; in a large one, each member and a pivot, the most
+   central member. Candidates that agree in too few registers are skipped, all others are
+   confirmed on the full sets of their texts. So a large bucket of copies costs as many pairs as
+   it has members.
+4. Members of a large bucket that are not in its main group after that are compared with all
+   others of the bucket, block by block, on full sets. No pair that shares a bucket and is not
+   connected by then goes uncompared.
+5. Confirmed links are grouped by hooking each class to its smallest neighbour and jumping to the
    label of the label until nothing changes.
 
 Between steps, tables are stored in the shared folder. The driver sees counts only.
@@ -45,8 +47,11 @@ REGISTERS = BANDS * ROWS
 # Of 96 registers, a pair at 85 % agrees in 82 on average, and in fewer than 58 with probability
 # below one in a billion.
 AGREEING = 58
-# Up to this number, the members of a bucket are compared with each other at once.
-BLOCK = 24
+# Up to this number of members, all pairs of a bucket are candidates.
+SMALL = 24
+# The members of a large bucket that one task holds, from either side.
+BLOCK = 384
+COLUMNS = 4096
 WINDOW_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -185,6 +190,42 @@ def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[keep, ["a", "b"]]
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set on the left has in common with each on the right."""
+    sets = left + right
+    values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    often = times > 1
+    place = np.cumsum(often) - 1
+    chosen = often[column]
+    owner, column = owner[chosen], place[column[chosen]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(often.sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, (first, first + COLUMNS))
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[owner[lo:hi], column[lo:hi] - first] = 1
+        both += has[: len(left)] @ has[len(left) :].T
+    return both.astype(np.int64)
+
+
+def _block_links(block: pd.DataFrame) -> pd.DataFrame:
+    """Links between outsiders and members of one bucket, which differ in their label."""
+    hasher = WordHasher()
+    sides = [block[block["outside"]], block[~block["outside"]]]
+    sets = [[shingle_set(t, hasher) for t in side["text"]] for side in sides]
+    both = shared_counts(*sets)
+    sizes = [np.array([len(x) for x in side], dtype=np.int64) for side in sets]
+    union = sizes[0][:, None] + sizes[1][None, :] - both
+    labels = [side["label"].to_numpy() for side in sides]
+    found = (both > 0) & (100 * both >= PERCENT * union) & (labels[0][:, None] != labels[1][None, :])
+    i, j = np.nonzero(found)
+    ids = [side["id"].to_numpy() for side in sides]
+    return pd.DataFrame({"a": np.minimum(ids[0][i], ids[1][j]), "b": np.maximum(ids[0][i], ids[1][j])})
+
+
 def sketch(docs: DataFrame) -> DataFrame:
     """One row per document: its number of shingles, a hash of its set, bands and register signs."""
     return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sketches, _SKETCH), "sketches")
@@ -248,23 +289,52 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("id", "label")
 
 
-def _pivot_pairs(open_members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The pairs to compare next, and the members that stay for later rounds.
+def candidate_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): all pairs of small buckets, and each member with the pivot of large ones.
 
-    ``open_members`` has key, id, weight and label, in buckets with at least two labels.
+    ``members`` has key, id, weight and the number of members of the bucket.
     """
-    sizes = open_members.groupBy("key").agg(F.count("*").alias("members"))
-    sized = open_members.join(sizes, "key")
-    few = sized.where(F.col("members") <= BLOCK)
-    other = few.select("key", F.col("id").alias("id2"), F.col("label").alias("label2"))
-    among = few.join(other, "key").where("id < id2 AND label <> label2").select(*_ordered("id", "id2"))
-    many = sized.where(F.col("members") > BLOCK)
-    rank = F.struct("weight", (-F.col("id")).alias("early"), "id", "label")
-    best = many.groupBy("key").agg(F.max(rank).alias("pivot"))
-    against = many.join(best, "key").where(F.col("label") != F.col("pivot.label"))
-    pairs = against.select(F.col("pivot.id").alias("p"), "id").select(*_ordered("p", "id"))
-    stay = many.join(best, "key").where(F.col("id") != F.col("pivot.id"))
-    return among.union(pairs).distinct(), stay.select("key", "id", "weight")
+    few = members.where(F.col("members") <= SMALL)
+    other = few.select("key", F.col("id").alias("id2"))
+    among = few.join(other, "key").where("id < id2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
+    many = members.where(F.col("members") > SMALL)
+    rank = F.struct("weight", (-F.col("id")).alias("early"), "id")
+    pivots = many.groupBy("key").agg(F.max(rank)["id"].alias("pivot"))
+    against = many.join(pivots, "key").where("id <> pivot").select(*_ordered("id", "pivot"))
+    return among.union(against).distinct()
+
+
+def outsider_links(members: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links in large buckets from members that are not in the bucket's main group."""
+    many = members.where(F.col("members") > SMALL).select("key", "id", "members")
+    labelled = many.join(components(links), "id", "left").select(
+        "key", "id", "members", F.coalesce("label", "id").alias("label")
+    )
+    labelled = written(labelled, "labelled")
+    groups = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
+    mains = groups.groupBy("key").agg(F.max(F.struct("n", "label")).alias("main"))
+    sized = (
+        labelled.join(mains, "key")
+        .where(F.col("main.n") < F.col("members"))
+        .withColumn("out", F.col("label") != F.col("main.label"))
+    )
+    n_all, n_out = F.col("members"), F.col("members") - F.col("main.n")
+    all_blocks = F.ceil(n_all / BLOCK).cast("int")
+    out_blocks = F.ceil(n_out / BLOCK).cast("int")
+
+    def dealt(outside: bool, own: Column, others: Column) -> DataFrame:
+        rows = sized.where("out") if outside else sized
+        mine = F.pmod(F.xxhash64("id"), own).cast("int")
+        every = F.explode(F.sequence(F.lit(0), others - 1))
+        names = ("i", "j") if outside else ("j", "i")
+        return rows.select(
+            "key", "id", "label", F.lit(outside).alias("outside"), mine.alias(names[0]), every.alias(names[1])
+        ).select("key", "i", "j", "id", "label", "outside")
+
+    blocks = dealt(True, out_blocks, all_blocks).union(dealt(False, all_blocks, out_blocks))
+    blocks = blocks.join(texts, "id")
+    found = blocks.groupBy("key", "i", "j").applyInPandas(_block_links, "a long, b long")
+    return written(found.distinct(), "outsiders")
 
 
 def near_duplicate_links(sketches: DataFrame, docs: DataFrame) -> DataFrame:
@@ -280,47 +350,23 @@ def near_duplicate_links(sketches: DataFrame, docs: DataFrame) -> DataFrame:
     shared = banded.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     placed = written(banded.join(shared, "key"), "placed")
     weights = placed.groupBy("id").agg(F.sum("members").alias("weight"))
-    members = written(placed.drop("members").join(weights, "id").select("key", "id", "weight"), "members")
+    members = written(placed.join(weights, "id"), "members")
 
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
+    wanted = weights.select(F.col("id").alias("doc_id"))
     texts = docs.select("doc_id", "text").withColumn("bitmap", hash_bitmap(wanted, "doc_id"))
     texts = texts.where(in_bitmap(F.col("bitmap"), F.col("doc_id"))).drop("bitmap")
     texts = written(
         texts.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text"), "texts"
     )
-    signs = written(
-        chosen.join(wanted, "doc_id", "left_semi").select(
-            F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.hex("signs").alias("hex")
-        ),
-        "signs",
+    signs = chosen.join(wanted, "doc_id", "left_semi").select(
+        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.hex("signs").alias("hex")
     )
-
-    links = compared = None
-    labelled = members.withColumn("label", F.col("id"))
-    while True:
-        pairs, members = _pivot_pairs(labelled)
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs, members = written(pairs, "pairs"), written(members, "members")
-        plausible = written(_plausible(pairs, signs), "plausible")
-        texted = _joined(plausible, texts, "text")
-        found = texted.select("a", "b", "a_text", "b_text").mapInPandas(_confirmed, "a long, b long")
-        found = written(found.distinct(), "found")
-        links = found if links is None else links.union(found)
-        compared = pairs if compared is None else compared.union(pairs)
-        if members.isEmpty():
-            return links
-        labels = components(links)
-        labelled = members.join(labels, "id", "left").select(
-            "key", "id", "weight", F.coalesce("label", "id").alias("label")
-        )
-        mixed_keys = labelled.groupBy("key").agg(
-            F.min("label").alias("low"), F.max("label").alias("high")
-        )
-        open_keys = mixed_keys.where("low <> high").select("key")
-        labelled = written(labelled.join(open_keys, "key", "left_semi"), "open")
-        if labelled.isEmpty():
-            return links
+    plausible = written(_plausible(candidate_pairs(members), written(signs, "signs")), "plausible")
+    texted = _joined(plausible, texts, "text").select("a", "b", "a_text", "b_text")
+    links = written(texted.mapInPandas(_confirmed, "a long, b long").distinct(), "found")
+    if members.where(F.col("members") > SMALL).isEmpty():
+        return links
+    return links.union(outsider_links(members, links, texts))
 
 
 def group_near_duplicates(docs: DataFrame) -> DataFrame:
