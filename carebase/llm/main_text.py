@@ -79,7 +79,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 MARKED = -40.0
 IN_CONTENT = 8.0
 LONG, SHORT, LINKED, HEADING = 2.5, -1.0, -4.0, 0.5
-LONG_CHARS, SHORT_CHARS = 80, 25
+LONG_CHARS, SHORT_CHARS = 60, 25
 NEXT, SIBLING = 1.0, 0.6
 
 

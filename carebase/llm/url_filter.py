@@ -7,7 +7,7 @@ one weight per hash bucket. The weights, of a fixed number, reach all tasks as a
 every url is judged in the scan, without a shuffle.
 
 Nulls and edge cases: a null url and one without ``://`` have an empty host and path, fit no rule
-and are judged by the intercept alone. Urls that repeat are judged alike. No other column than
+and are judged by the intercept and the n-grams of nothing. Urls that repeat are judged alike. No other column than
 those named is read, except to be passed on.
 """
 
@@ -26,8 +26,9 @@ from carebase.session import written
 BUCKETS = 2**14
 GRAMS = (3, 4, 5)
 EPOCHS = 150
-RATE = 2.0
-DECAY = 0.002
+RATE, BIAS_RATE = 0.5, 2.0
+DECAY = 0.01
+COMMON = 0.1
 # The fit compares all pairs of labelled rows, so their number is bounded.
 MAX_LABELLED = 1000
 
@@ -129,32 +130,37 @@ def fit_weights(labelled: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     at most ``MAX_LABELLED`` rows, those with the smallest hashes.
     """
     rows = labelled.where("blocked IS NOT NULL").select(
-        gram_buckets(*host_and_path(F.col("url"))).alias("grams"),
+        gram_buckets(*host_and_path(F.col("url"))).alias("all"),
         F.col("blocked").cast("double").alias("y"),
         F.xxhash64("url").alias("h"),
     )
-    bounded = rows.orderBy("h", "y").limit(MAX_LABELLED)
-    together = bounded.agg(F.array_sort(F.collect_list(F.struct("h", "y", "grams"))).alias("rows"))
+    bounded = written(rows.orderBy("h", "y").limit(MAX_LABELLED), "labelled")
+    # N-grams of most urls, such as those of a domain, tell nothing and would slow the fit.
+    uses = bounded.select(F.explode("all").alias("gram")).groupBy("gram").count()
+    common = uses.where(F.col("count") > COMMON * bounded.select(F.count("*")).scalar())
+    common = common.agg(F.collect_set("gram").alias("grams")).scalar()
+    rows = bounded.select("h", "y", F.array_except("all", common).alias("grams")).where("size(grams) > 0")
+    together = rows.agg(F.array_sort(F.collect_list(F.struct("h", "y", "grams"))).alias("rows"))
     # Rows are scaled to length one, so the n-grams that two rows share become a cosine.
     norm = "sqrt(cast(size(a.grams) AS double) * size(b.grams))"
-    kernel = f"transform(rows, a -> transform(rows, b -> size(array_intersect(a.grams, b.grams)) / {norm} + 1D))"
-    step = f"""
-        zip_with(alpha, zip_with(rows, kernel, (r, k) -> struct(r.y AS y, k AS k)), (a, r) ->
-          a * {1 - RATE * DECAY}D + {RATE}D / size(rows) * (r.y - 1D / (1D + exp(-aggregate(
-            zip_with(alpha, r.k, (p, q) -> p * q), 0D, (s, x) -> s + x)))))"""
+    kernel = f"transform(rows, a -> transform(rows, b -> size(array_intersect(a.grams, b.grams)) / {norm}))"
     # Stored, or else the optimizer would compute the matrix anew in every epoch.
     compared = written(together.selectExpr("rows", f"{kernel} AS kernel"), "compared")
-    zero = "transform(rows, r -> 0D)"
+    margin = "aggregate(zip_with(s.alpha, k, (p, q) -> p * q), s.bias, (x, y) -> x + y)"
+    errors = f"zip_with(rows, kernel, (r, k) -> r.y - 1D / (1D + exp(-{margin})))"
+    step = f"""transform(array({errors}), e -> struct(
+        zip_with(s.alpha, e, (a, x) -> a * {1 - DECAY}D + {RATE}D * x) AS alpha,
+        s.bias + {BIAS_RATE}D * aggregate(e, 0D, (x, y) -> x + y) / size(rows) AS bias))[0]"""
+    zero = "struct(transform(rows, r -> 0D) AS alpha, 0D AS bias)"
     fitted = (
-        compared.selectExpr(
-            "rows", f"aggregate(sequence(1, {epochs}), {zero}, (alpha, e) -> {step}) AS alpha"
-        )
-        .selectExpr("explode(arrays_zip(rows, alpha)) AS row")
-        .selectExpr("row.rows.grams AS grams", "row.alpha AS alpha")
+        compared.where("size(rows) > 0")
+        .selectExpr("rows", f"aggregate(sequence(1, {epochs}), {zero}, (s, i) -> {step}) AS fit")
+        .selectExpr("explode(arrays_zip(rows, fit.alpha)) AS row", "fit.bias AS bias")
+        .selectExpr("row.rows.grams AS grams", "row.alpha AS alpha", "bias")
     )
     fitted = written(fitted, "fitted")
     shares = fitted.selectExpr("explode(grams) AS bucket", "alpha / sqrt(size(grams)) AS share")
-    intercept = fitted.selectExpr(f"{BUCKETS} AS bucket", "alpha AS share")
+    intercept = fitted.select(F.lit(BUCKETS).alias("bucket"), "bias").distinct()
     sums = shares.unionAll(intercept).groupBy("bucket").agg(F.sum("share").alias("weight"))
     every = labelled.sparkSession.range(BUCKETS + 1).select(F.col("id").cast("int").alias("bucket"))
     ordered = every.join(sums, "bucket", "left").agg(
@@ -179,10 +185,14 @@ def judge_urls(
     parsed = parsed.withColumns(
         {"grams": gram_buckets(F.col("host"), F.col("path")), "weights": weights}
     )
-    total = F.aggregate(
-        "grams", F.lit(0.0), lambda sum_, g: sum_ + F.coalesce(F.get("weights", g), F.lit(0.0))
+    known = F.filter(
+        F.transform("grams", lambda g: F.get("weights", g)), lambda w: w != 0
     )
-    score = total / F.sqrt(F.size("grams")) + F.get("weights", F.lit(BUCKETS))
+    score = let(
+        known,
+        lambda found: F.aggregate(found, F.lit(0.0), lambda a, b: a + b)
+        / F.sqrt(F.greatest(F.size(found), F.lit(1))),
+    ) + F.get("weights", F.lit(BUCKETS))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     judged = F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow"))
     return parsed.withColumn("score", score).select(
