@@ -55,7 +55,7 @@ ID_COLUMNS = ("provnum", "cms_certification_number_ccn")
 DECLARED_TYPES = {
     STAFFING: {
         "workdate": "int",
-        "mdscensus": "int",
+        "mdscensus": "double",
         **{name: "double" for name in HOURS + EMPLOYEE_HOURS + CONTRACTOR_HOURS},
     },
     CLAIMS: {"measure_code": "int", "processing_date": "date"},

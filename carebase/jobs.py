@@ -50,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     views = jobs.add_parser("views")
     views.add_argument("--refined", required=True)
     views.add_argument("--curated", required=True)
-    views.add_argument("--write-mode", choices=WRITE_MODES, default="overwrite", type=str.lower)
+    views.add_argument("--on-bad-value", choices=("raise", "null"), default="raise")
     return parser
 
 
@@ -62,7 +62,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             read_refined(spark, args.refined, STAFFING),
             read_refined(spark, args.refined, CLAIMS),
             args.curated,
-            args.write_mode,
+            load_tie_break=("provnum", "state"),
+            on_bad_value=args.on_bad_value,
         )
         print("\n".join(paths.values()))
         return

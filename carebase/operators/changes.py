@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +33,15 @@ def changed_files(routed: DataFrame, state: DataFrame) -> DataFrame:
     return detect_changes(routed, state).where(PENDING)
 
 
-def ingest_counts(changes: DataFrame) -> DataFrame:
-    """One row: CSV files to process, CSV files left alone, and processed ones without a rule."""
+def ingest_counts(changes: DataFrame, done: Collection[str] | None = None) -> DataFrame:
+    """One row: CSV files processed, CSV files left alone, and processed ones without a rule.
+
+    ``done`` are the datasets that were written, all by default. Pending files of other ones
+    are in no count.
+    """
+    written = F.lit(True) if done is None else F.col("dataset").isin(*done)
     return changes.agg(
-        F.expr(f"count_if({PENDING}) as processed"),
+        F.count_if(F.expr(PENDING) & written).alias("processed"),
         F.expr(f"count_if(not {PENDING}) as skipped"),
         F.expr(f"count_if({PENDING} and dataset = '{UNMAPPED}') as unmapped"),
     )

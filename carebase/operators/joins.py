@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SLICE, _MASK = "__slice", "__mask"
-
-MAX_SLICES = 63  # one bit each in a bigint
+_SLICE, _PRESENT = "__slice", "__present"
 
 
 def sliced_left_join(
@@ -28,18 +26,17 @@ def sliced_left_join(
     has, so every repeat finds a partner; a left row without partner is kept once.
 
     ``right_keys`` is any frame with the same distinct (``key``, ``slice_on``) values as
-    ``right``; it only has to be cheaper to compute. Its slices are folded into one number
+    ``right``; it only has to be cheaper to compute. Its slices are folded into one short list
     per key in front of the shuffle. One slice is the plain join.
     """
-    if not 1 <= slices <= MAX_SLICES:
-        raise ValueError(f"slices must be from 1 to {MAX_SLICES}, not {slices}")
+    if slices < 1:
+        raise ValueError(f"slices must be at least 1, not {slices}")
     if slices == 1:
         return left.join(right, key, "left")
     slice_of = f"cast(pmod(xxhash64({', '.join(slice_on)}), {slices}) as int)"
-    present = right_keys.groupBy(key).agg(F.expr(f"bit_or(shiftleft(1L, {slice_of}))").alias(_MASK))
-    found = f"filter(sequence(0, {slices - 1}), i -> bit_get({_MASK}, i) = 1)"
+    present = right_keys.groupBy(key).agg(F.expr(f"collect_set({slice_of})").alias(_PRESENT))
     repeated = left.join(present, key, "left").selectExpr(
-        *left.columns, f"explode_outer({found}) as {_SLICE}"
+        *left.columns, f"explode_outer({_PRESENT}) as {_SLICE}"
     )
     sliced = right.withColumn(_SLICE, F.expr(slice_of))
     return repeated.join(sliced, [key, _SLICE], "left").drop(_SLICE)

@@ -127,13 +127,14 @@ def staffing_vs_readmission(
     claims: DataFrame,
     tie_break: Sequence[str] = (),
     on_bad_value: str = "raise",
-    slices: int = 16,
+    slices: int | None = None,
 ) -> DataFrame:
     """Hours per patient-day next to the newest readmission scores of the facility.
 
     Facilities without patient-days are left out. The join is on the facility only, so
     the state of the claims row plays no part. One row per facility, state and score;
-    facilities without a score appear once with nulls.
+    facilities without a score appear once with nulls. A facility is spread over up to
+    ``slices`` tasks, as many as there are shuffle partitions by default.
     """
     return staffing_vs_readmission_from_totals(
         facility_totals(staffing), claims, tie_break, on_bad_value, slices
@@ -145,7 +146,7 @@ def staffing_vs_readmission_from_totals(
     claims: DataFrame,
     tie_break: Sequence[str] = (),
     on_bad_value: str = "raise",
-    slices: int = 16,
+    slices: int | None = None,
 ) -> DataFrame:
     return sliced_left_join(
         _scored(totals, "patient_days", "patient_days > 0"),
@@ -153,5 +154,5 @@ def staffing_vs_readmission_from_totals(
         readmission_claims(claims),
         "provnum",
         MEASURE_KEYS,
-        slices,
+        slices or int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions")),
     )

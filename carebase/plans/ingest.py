@@ -79,7 +79,8 @@ def ingest(
     done = changes.where(PENDING).where(F.col("dataset").isin(UNMAPPED, *landed))
     if not done.isEmpty():
         append_state(state_rows(done, bucket, _utc_without_zone(run_ts)), state_path)
-    return IngestRun(ingest_counts(changes), results_table(spark, results, fail_on_error))
+    counts = ingest_counts(changes, (UNMAPPED, *landed))
+    return IngestRun(counts, results_table(spark, results, fail_on_error))
 
 
 def _utc_without_zone(run_ts: str) -> str:

@@ -17,12 +17,10 @@ from carebase.operators.cleaning import INGESTED_AT, SOURCE_FILE, clean
 from carebase.operators.dedupe import count_copies
 from carebase.session import shuffle_partitions_for
 from carebase.sources.raw import (
-    LARGE_FILE,
     NoColumns,
-    file_sizes,
-    is_line_based,
     is_missing_source,
     scan_csv,
+    total_bytes,
 )
 from carebase.sources.refined import check_write_mode, write_refined
 
@@ -53,9 +51,8 @@ class RefineOptions:
 
     ``types``: column types per dataset, by normalised name. A dataset listed here is read
     as text and cast by name; any other one is inferred, which costs one more pass.
-    ``single_line``: datasets known to have no line breaks inside fields, so that their files
-    can be split. Others are looked through once if they have a file above ``large_file``
-    bytes, and are split if that shows every line to be a record.
+    ``single_line``: datasets known to have no line breaks inside fields and one kind of line
+    end, so that their files can be split. Files of other datasets take one task each.
     ``ignore_lineage``: rows equal but for their source file are duplicates too. By default
     they are not.
     ``on_bad_value``: ``raise`` fails the dataset when a declared type does not fit,
@@ -70,7 +67,6 @@ class RefineOptions:
     on_bad_value: str = "raise"
     types: Mapping[str, Mapping[str, str]] = field(default_factory=lambda: DECLARED_TYPES)
     single_line: frozenset[str] = frozenset()
-    large_file: int = LARGE_FILE
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "mode", check_write_mode(self.mode))
@@ -123,16 +119,13 @@ def refine_paths(
 ) -> dict:
     """Refines one dataset and returns its result row. Errors are raised."""
     types = options.types.get(dataset)
-    total, largest = file_sizes(spark, paths)
-    splittable = dataset in options.single_line or (
-        largest > options.large_file and is_line_based(spark, paths, options.sep)
-    )
+    total = total_bytes(spark, paths)
     raw = scan_csv(
         spark,
         paths,
         header=options.header,
         sep=options.sep,
-        multi_line=not splittable,
+        multi_line=dataset not in options.single_line,
         infer=types is None,
     )
     if not raw.columns:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,15 +10,23 @@ from carebase.datasets import CLAIMS, STAFFING, dataset_path
 from carebase.operators.rollup import facility_months, facility_totals_from_months
 from carebase.plans import curated
 from carebase.session import written
-from carebase.sources.refined import check_write_mode, read_refined
+from carebase.sources.refined import read_refined
 
 Definition = Callable[[SparkSession], DataFrame] | str | None
 
 REPORT_SCHEMA = "view string, state string"
 
 
-def curated_views(root: str) -> dict[str, Definition]:
-    """The five curated views over the refined data under ``root``, in build order."""
+def curated_views(
+    root: str,
+    load_tie_break: Sequence[str] = (),
+    claims_tie_break: Sequence[str] = (),
+    on_bad_value: str = "raise",
+) -> dict[str, Definition]:
+    """The five curated views over the refined data under ``root``, in build order.
+
+    The tie breaks order facilities of equal load, and claims rows of equal date.
+    """
 
     def staffing(spark: SparkSession) -> DataFrame:
         return read_refined(spark, root, STAFFING)
@@ -32,10 +40,10 @@ def curated_views(root: str) -> dict[str, Definition]:
             staffing(spark)
         ),
         "lowest_staffing_vs_patient_load": lambda spark: curated.lowest_staffing_vs_patient_load(
-            staffing(spark)
+            staffing(spark), tie_break=load_tie_break
         ),
         "staffing_levels_vs_readmission_rates": lambda spark: curated.staffing_vs_readmission(
-            staffing(spark), read_refined(spark, root, CLAIMS)
+            staffing(spark), read_refined(spark, root, CLAIMS), claims_tie_break, on_bad_value
         ),
     }
 
@@ -62,29 +70,34 @@ def register_views(spark: SparkSession, definitions: Mapping[str, Definition]) -
 
 
 def write_views(
-    staffing: DataFrame, claims: DataFrame, root: str, mode: str = "overwrite"
+    staffing: DataFrame,
+    claims: DataFrame,
+    root: str,
+    load_tie_break: Sequence[str] = (),
+    claims_tie_break: Sequence[str] = (),
+    on_bad_value: str = "raise",
 ) -> dict[str, str]:
-    """Writes all five views as Parquet; returns their paths.
+    """Writes all five views as Parquet in place of older ones; returns their paths.
 
-    The fact table is scanned once: its monthly sums are stored and every view is derived
-    from them. Only the order in which hours are added differs from the lazy views.
+    The fact table is scanned once: its monthly sums are stored, and with them the sums per
+    facility; every view is derived from these. Only the order in which hours are added
+    differs from the lazy views.
     """
-    check_write_mode(mode)
     months = written(facility_months(staffing), "facility_months")
-    totals = facility_totals_from_months(months)
+    totals = written(facility_totals_from_months(months), "facility_totals")
     views = {
         "total_nurse_hours": curated.total_nurse_hours_from_months(months),
         "employee_vs_contractor_ratio": curated.employee_vs_contractor_ratio_from_months(months),
         "staffing_vs_patient_load": curated.staffing_vs_patient_load_from_totals(totals),
         "lowest_staffing_vs_patient_load": curated.lowest_staffing_vs_patient_load_from_totals(
-            totals
+            totals, tie_break=load_tie_break
         ),
         "staffing_levels_vs_readmission_rates": curated.staffing_vs_readmission_from_totals(
-            totals, claims
+            totals, claims, claims_tie_break, on_bad_value
         ),
     }
     paths = {}
     for name, df in views.items():
         paths[name] = dataset_path(root, name)
-        df.write.mode(mode).parquet(paths[name])
+        df.write.mode("overwrite").parquet(paths[name])
     return paths

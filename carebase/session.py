@@ -13,8 +13,6 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 PARTITION_BYTES = 256 * 2**20
-# Beyond this number the bookkeeping of a shuffle outweighs smaller partitions, which spill.
-MAX_PARTITIONS = 50_000
 
 
 def session_builder(app: str = "carebase") -> SparkSession.Builder:
@@ -42,7 +40,7 @@ def shuffle_partitions_for(spark: SparkSession, data_bytes: int) -> Iterator[Non
     """
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    needed = min(data_bytes // PARTITION_BYTES + 1, MAX_PARTITIONS)
+    needed = data_bytes // PARTITION_BYTES + 1
     spark.conf.set(name, max(int(before), needed))
     try:
         yield

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carebase.datasets import ID_COLUMNS
@@ -14,10 +13,6 @@ from carebase.functions.names import normalize_name
 MISSING_SOURCE_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-# Above this size a file is worth a look at whether it can be split.
-LARGE_FILE = 512 * 2**20
-
-
 class NoColumns(ValueError):
     """The source exists but has no header and no rows."""
 
@@ -43,8 +38,13 @@ def scan_csv(
     turn into numbers.
 
     ``multi_line=True`` is right for every file, but Spark then gives each file to one
-    task. Turn it off for sources without line breaks inside fields, so that large files
-    are split; ``is_line_based`` can tell.
+    task. Turn it off for sources without line breaks inside fields and with one kind of line
+    end, so that large files are split. Nothing but this argument decides: the size of a file
+    never does.
+
+    All files must have the header of the first one; reading another one fails, because its
+    columns would be dropped or swapped. Only headers with blank or repeated names, which Spark
+    numbers by position, are not compared.
     """
     reader = (
         spark.read.option("header", header)
@@ -53,9 +53,12 @@ def scan_csv(
         .option("quote", '"')
         .option("escape", '"')
     )
-    if not infer:
-        return reader.csv(paths)
-    df = reader.option("inferSchema", True).csv(paths)
+    df = reader.option("inferSchema", infer).csv(paths)
+    if not df.columns:
+        return df
+    checked = reader.option("inferSchema", False).option(
+        "enforceSchema", not header or has_numbered_names(df.columns)
+    )
     schema = T.StructType(
         [
             T.StructField(field.name, T.StringType())
@@ -64,30 +67,16 @@ def scan_csv(
             for field in df.schema
         ]
     )
-    if not df.columns or schema == df.schema:
-        return df
-    return reader.option("inferSchema", False).schema(schema).csv(paths)
-
+    return checked.schema(schema).csv(paths)
 
-def file_sizes(spark: SparkSession, paths: str | list[str]) -> tuple[int, int]:
-    """Bytes of all files together and of the largest one. Looks at file attributes only."""
-    files = spark.read.format("binaryFile").load(paths)
-    return tuple(files.selectExpr("nvl(sum(length), 0)", "nvl(max(length), 0)").first())
 
+def has_numbered_names(names: list[str]) -> bool:
+    """Whether Spark seems to have made up names, for blank ones or to tell equal ones apart."""
+    stems = [n[: -len(str(i))].lower() for i, n in enumerate(names) if n.endswith(str(i))]
+    return "_c" in stems or len(set(stems)) < len(stems)
 
-def is_line_based(spark: SparkSession, paths: str | list[str], sep: str = ",") -> bool:
-    """Whether each line of the source is a whole record, so that splitting it is safe.
 
-    True only if every field of every line is either free of quotes or quoted from end to
-    end. Lines of blanks only are not safe either: Spark drops them when it splits files,
-    and keeps them as rows when it does not. One parallel pass over the text, which ends
-    early at the first such line.
-    """
-    plain = rf'[^"\r\Q{sep}\E]*+'
-    quoted = r'"[^"\r]*+(?:""[^"\r]*+)*+"'
-    record = rf"^(?:{quoted}|{plain})(?:\Q{sep}\E(?:{quoted}|{plain}))*+\r?\z"
-    lines = spark.read.option("lineSep", "\n").text(paths)
-    line = F.col("value")
-    unclear = line.rlike(r'["\r]') & ~line.rlike(record)
-    blank = line.rlike(r"^[\x00-\x20]+\z") & (line != "\r")
-    return lines.where(unclear | blank).isEmpty()
+def total_bytes(spark: SparkSession, paths: str | list[str]) -> int:
+    """Bytes of all files together. Looks at file attributes only."""
+    files = spark.read.format("binaryFile").load(paths)
+    return files.selectExpr("nvl(sum(length), 0)").first()[0]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from carebase.datasets import dataset_path
+from carebase.sources.raw import is_missing_source
 
 WRITE_MODES = ("overwrite", "append")
 
@@ -19,11 +21,27 @@ def check_write_mode(mode: str) -> str:
 
 
 def write_refined(df: DataFrame, root: str, dataset: str, mode: str = "overwrite") -> str:
+    """Writes a dataset; appending columns of other types than the stored ones is refused."""
     path = dataset_path(root, dataset)
-    df.write.mode(check_write_mode(mode)).parquet(path)
+    mode = check_write_mode(mode)
+    if mode == "append":
+        changed = _changed_types(df, path)
+        if changed:
+            raise ValueError(f"columns of other types than those stored: {', '.join(changed)}")
+    df.write.mode(mode).parquet(path)
     return path
 
 
+def _changed_types(df: DataFrame, path: str) -> list[str]:
+    try:
+        stored = dict(df.sparkSession.read.parquet(path).dtypes)
+    except AnalysisException as error:
+        if is_missing_source(error):
+            return []
+        raise
+    return [name for name, kind in df.dtypes if stored.get(name, kind) != kind]
+
+
 def read_refined(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     return spark.read.parquet(dataset_path(root, dataset))
 

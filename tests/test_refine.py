@@ -8,7 +8,7 @@ from carebase.operators.cleaning import standardize_missing
 from carebase.operators.dedupe import dedupe_report, drop_duplicates
 from carebase.plans.refine import RefineError, RefineOptions, refine_all
 from carebase.session import shuffle_partitions_for
-from carebase.sources.raw import file_sizes, is_line_based, is_missing_source, scan_csv
+from carebase.sources.raw import is_missing_source, scan_csv, total_bytes
 from carebase.sources.refined import read_refined, register_refined
 
 OTHER = "nh_provider_info"
@@ -217,44 +217,55 @@ def test_single_line_files_are_split(spark, roots):
 
 
 @pytest.mark.parametrize(
-    ("text", "expected"),
+    "text",
     [
-        ("a,b\n1,2\n", True),
-        ('a,b\r\n"x, ""y""",2\r\n', True),
-        ('a,b\n"",""\n"""",x\n', True),
-        ('a,b\n"x\ny",2\n', False),
-        ('a,b\n5" and "x\ny",2\n', False),
-        ('a,b\n5",2\n', False),
-        ("a,b\n1\r,2\n", False),
-        ('a,b\n"x" y,2\n', False),
-        ("a,b\n \n1,2\n", False),
-        ("a,b\r\n\r\n1,2\r\n", True),
+        "a,b\r\n1,x\n2,y\r\n",
+        "a,b\n1,x\r\n2,y\n3,z\r\n",
+        "a,b\n1,x\n\r\n2,y\n",
+        'a,b\n1,"x, ""y"""\n2,"line\nbreak"\n',
     ],
 )
-def test_line_based_sources_are_recognised(spark, roots, text, expected):
-    folder = put(roots[0], OTHER, a=text)
-    assert is_line_based(spark, str(folder)) is expected
-    assert is_line_based(spark, str(folder), sep="|") in (expected, False)
+def test_the_same_lines_give_the_same_rows_at_any_size(spark, roots, text):
+    small = put(roots[0], OTHER, a=text)
+    rows = scan_csv(spark, str(small), infer=False).collect()
+    end = "\r\n" if text.startswith("a,b\r") else "\n"
+    padded = put(roots[0], "padded", a=text + f"9,9{end}" * 20001)
+    large = scan_csv(spark, str(padded), infer=False).collect()
+    assert large[: len(rows) - 1] == rows[:-1]
+    assert len(large) >= len(rows) + 20000
 
 
-def test_large_line_based_files_are_split_with_equal_results(spark, roots):
+def test_declared_single_lines_give_equal_results(spark, roots):
     lines = [f'{i % 900},"x, ""{i % 900}"""' for i in range(3000)]
     put(roots[0], OTHER, a="k,v\n" + "\n".join(lines) + "\n", b="k,v\n1,y\n")
-    folder = str(roots[0] / OTHER)
     sizes = [path.stat().st_size for path in (roots[0] / OTHER).iterdir()]
-    assert file_sizes(spark, folder) == (sum(sizes), max(sizes))
+    assert total_bytes(spark, str(roots[0] / OTHER)) == sum(sizes)
     counts = []
-    for large in (1000, 10**9):
-        row = run(spark, roots, OTHER, large_file=large)[OTHER]
+    for single in (frozenset(), frozenset({OTHER})):
+        row = run(spark, roots, OTHER, single_line=single)[OTHER]
         df = refined(spark, roots, OTHER)
         counts.append((row.rows_in, row.rows_out, sorted(map(tuple, df.collect()))))
     assert counts[0] == counts[1]
     assert counts[0][:2] == (3001, 901)
 
 
+def test_appending_other_types_fails_before_writing(spark, roots):
+    put(roots[0], OTHER, a="k\n1\n")
+    run(spark, roots, OTHER, mode="append")
+    (roots[0] / OTHER / "a.csv").write_text("k\nx7\n")
+    assert run(spark, roots, OTHER, mode="append", fail_on_error=False)[OTHER].status == "failed"
+    assert [r.k for r in refined(spark, roots, OTHER).collect()] == [1]
+
+
+def test_files_of_different_headers_fail_their_dataset(spark, roots):
+    put(roots[0], OTHER, a="p,q\n1,2\n", b="q,p,r\n20,10,5\n")
+    row = run(spark, roots, OTHER, fail_on_error=False)[OTHER]
+    assert row.status == "failed"
+
+
 def test_shuffle_partitions_follow_the_input(spark):
     name = "spark.sql.shuffle.partitions"
-    for size, expected in ((0, "8"), (5 * 2**30, "21"), (10**15, "50000")):
+    for size, expected in ((0, "8"), (5 * 2**30, "21"), (10**15, str(10**15 // 2**28 + 1))):
         with pytest.raises(KeyError), shuffle_partitions_for(spark, size):
             assert spark.conf.get(name) == expected
             raise KeyError
@@ -272,12 +283,6 @@ def test_a_large_source_is_shuffled_into_more_partitions(spark, roots, monkeypat
     assert len(list((roots[1] / OTHER).glob("*.parquet"))) == 3890 // 200 + 1
 
 
-def test_large_files_with_line_breaks_stay_whole(spark, roots):
-    put(roots[0], OTHER, a='k,v\n1,"x\ny"\n')
-    run(spark, roots, OTHER, large_file=0)
-    assert refined(spark, roots, OTHER).first().v == "x\ny"
-
-
 @pytest.mark.parametrize("bad", [{"mode": "ignore"}, {"on_bad_value": "skip"}])
 def test_options_are_checked(bad):
     with pytest.raises(ValueError):
