@@ -7,7 +7,6 @@ name of the text type differs. Spark gets DataFrames, DuckDB gets the same as a
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
 from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,17 +133,14 @@ COPIED_ROWS = "c_custkey % 10 = 0"
 
 
 # --- Spark ------------------------------------------------------------------
-# Plans are kept per session and folder, as a view would keep them; data is not.
 def _project(df: DataFrame, columns: Callable[[str], dict[str, str]]) -> DataFrame:
     return df.selectExpr(*[f"{sql} as {name}" for name, sql in columns("string").items()])
 
 
-@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-@cache
 def staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     suppliers = table(spark, sf_dir, "supplier")
@@ -155,7 +151,6 @@ def staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(joined, staffing_columns)
 
 
-@cache
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
@@ -166,13 +161,11 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(joined, claims_columns)
 
 
-@cache
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _project(table(spark, sf_dir, "events"), file_columns)
     return latest_per_key(files, ["file_id"], "modified_time", ["event_id desc"])
 
 
-@cache
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key, name and time of the files seen before."""
     files = _project(table(spark, sf_dir, "events").filter(STATE_ROWS), file_columns)
@@ -180,7 +173,6 @@ def state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.select("file_id", "file_name", "modified_time")
 
 
-@cache
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(table(spark, sf_dir, "customer"), dirty_columns)
 
