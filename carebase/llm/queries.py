@@ -5,6 +5,7 @@ from __future__ import annotations
 from carebase.llm.decontaminate import OP3_SQL, op3_decontamination
 from carebase.llm.licenses import op10_license_scan
 from carebase.llm.main_text import op2_main_text
+from carebase.llm.manifest import OP13_SQL, op13_manifest
 from carebase.llm.merkle import op8_merkle
 from carebase.llm.mixing import OP4_SQL, op4_source_mix
 from carebase.llm.near_duplicates import op9_near_duplicates
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_merkle": op8_merkle,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
+    "op13_manifest": op13_manifest,
 }
 
 # Operators with fitted models or permutations are tested against brute force in tests/llm.
 ORACLE_SQL = {
     "op3_decontamination": OP3_SQL,
     "op4_source_mix": OP4_SQL,
+    "op13_manifest": OP13_SQL,
 }
