@@ -143,8 +143,8 @@ def proof_digest(path: Column) -> Column:
 
 def _placed(leaves: DataFrame, tree: Column, order: Sequence[Column]) -> tuple[DataFrame, int]:
     """``leaves`` with tree, idx in the tree and n, stored; and the largest n."""
+    leaves = leaves.withColumn("tree", tree)
     ranked = written(running_totals(leaves, order, {"rank": F.lit(1)}), "manifest_ranked")
-    ranked = ranked.withColumn("tree", tree)
     trees = ranked.groupBy("tree").agg(F.min("rank").alias("first"), F.count("*").alias("n"))
     placed = ranked.join(trees, "tree").withColumn("idx", F.col("rank") - F.col("first"))
     placed = written(placed.drop("rank", "first"), "manifest_leaves")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from carebase.llm.bpe import op12_bpe
 from carebase.llm.decontaminate import OP3_SQL, op3_decontamination
 from carebase.llm.licenses import op10_license_scan
 from carebase.llm.main_text import op2_main_text
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_merkle": op8_merkle,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
+    "op12_bpe": op12_bpe,
     "op13_manifest": op13_manifest,
 }
 
