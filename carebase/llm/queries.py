@@ -10,6 +10,7 @@ from carebase.llm.manifest import OP13_SQL, op13_manifest
 from carebase.llm.merkle import op8_merkle
 from carebase.llm.mixing import OP4_SQL, op4_source_mix
 from carebase.llm.near_duplicates import op9_near_duplicates
+from carebase.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from carebase.llm.pseudonyms import op6_pseudonyms
 from carebase.llm.secret_links import op5_secret_scan
 from carebase.llm.url_filter import op1_url_filter
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_merkle": op8_merkle,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_bpe": op12_bpe,
     "op13_manifest": op13_manifest,
 }
@@ -34,5 +36,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_decontamination": OP3_SQL,
     "op4_source_mix": OP4_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op13_manifest": OP13_SQL,
 }
