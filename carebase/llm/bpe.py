@@ -26,12 +26,11 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Callable, Iterator
-from functools import cache
-from itertools import chain, pairwise
+from functools import cache, cached_property
+from itertools import pairwise
 from pathlib import Path
 
 import pyarrow as pa
-import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +41,13 @@ REMEMBERED = 2**19
 LONGEST_REMEMBERED = 64
 
 # --- Fixed values: the pattern that cuts texts, with its character classes as parameters --------
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?{letters}+| ?{digits}+| ?{others}+|\s+(?!\S)|\s+"
+PATTERN = (
+    "'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^{blanks}{letters}{digits}]+"
+    "|[{blanks}]+(?![^{blanks}])|[{blanks}]+"
+)
+BLANKS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # ------------------------------------------------------------------------------------------------
+BEYOND_PLANE_0 = re.compile("[\U00010000-\U0010ffff]")
 
 
 class SegmentTree:
@@ -117,77 +121,91 @@ def byte_characters() -> dict[int, str]:
 
 
 @cache
-def piece_patterns() -> tuple[regex.Pattern, regex.Pattern, regex.Pattern]:
-    """The pattern, the characters that need care, and the pattern for texts with such characters.
+def piece_pattern(end: int) -> re.Pattern:
+    """The pattern for texts of characters below ``end``.
 
-    The pattern library knows newer characters than the vocabulary's own library does; those that
-    Python's character database has not assigned are neither letters nor digits there.
+    Letters and digits are what Python's character database has as such. One pattern for all
+    characters would be slow: large sets are looked up in a bitmap only below 2**16.
     """
-    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
-    newer = [ord(c) for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
-    starts = [b for a, b in pairwise([-2, *newer]) if b != a + 1]
-    ends = [a for a, b in pairwise([*newer, 0x110001]) if b != a + 1]
-    spans = "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in zip(starts, ends, strict=True))
-    plain = regex.compile(PATTERN.format(letters=r"\p{L}", digits=r"\p{N}", others=r"[^\s\p{L}\p{N}]"))
-    if not spans:
-        return plain, regex.compile(r"(?!)"), plain
-    careful = PATTERN.format(
-        letters=rf"[\p{{L}}--[{spans}]]",
-        digits=rf"[\p{{N}}--[{spans}]]",
-        others=rf"[[^\s\p{{L}}\p{{N}}]||[{spans}]]",
-    )
-    return plain, regex.compile(f"[{spans}]"), regex.compile(careful, regex.V1)
+
+    def spans(kind: str) -> str:
+        marks = [i for i in range(end) if unicodedata.category(chr(i))[0] == kind]
+        starts = [b for a, b in pairwise([-2, *marks]) if b != a + 1]
+        ends = [a for a, b in pairwise([*marks, end + 1]) if b != a + 1]
+        return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in zip(starts, ends, strict=True))
+
+    return re.compile(PATTERN.format(letters=spans("L"), digits=spans("N"), blanks=BLANKS))
+
+
+class Remembered(dict):
+    """The ids of pieces, four bytes each; those of short ones are kept.
+
+    They are kept in two generations: when the recent one is full it becomes the older one, and what
+    is met again there moves back.
+    """
+
+    def __init__(self, ids_of: Callable[[str], bytes]):
+        super().__init__()
+        self.ids_of, self.older = ids_of, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            found = self.ids_of(piece)
+        if len(piece) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
 
 
 class Vocabulary:
     """Merges, token texts and added tokens of a byte-level vocabulary file."""
 
     def __init__(self, content: bytes):
-        parsed = json.loads(content)
-        ids = parsed["model"]["vocab"]
+        self.content = content
+
+    @cached_property
+    def parsed(self) -> dict:
+        return json.loads(self.content)
+
+    @cached_property
+    def added(self) -> dict[str, int]:
+        return {token["content"]: token["id"] for token in self.parsed["added_tokens"]}
+
+    @cached_property
+    def cut(self) -> re.Pattern:
+        tokens = sorted(self.added, key=len, reverse=True)
+        return re.compile(f"({'|'.join(map(re.escape, tokens))})" if tokens else "((?!))")
+
+    @cached_property
+    def bytes_of(self) -> dict[int, bytes]:
+        byte_of = {c: b for b, c in byte_characters().items()}
+        tokens = {i: bytes(byte_of[c] for c in t) for t, i in self.parsed["model"]["vocab"].items()}
+        return tokens | {i: token.encode() for token, i in self.added.items()}
+
+    @cached_property
+    def pieces(self) -> Remembered:
+        ids = self.parsed["model"]["vocab"]
         characters = byte_characters()
-        byte_of = {c: b for b, c in characters.items()}
-        self.first = [ids[characters[b]] for b in range(256)]
-        self.merges = {}
-        for rank, pair in enumerate(parsed["model"]["merges"]):
+        first = [ids[characters[b]] for b in range(256)]
+        merges = {}
+        for rank, pair in enumerate(self.parsed["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[ids[left], ids[right]] = (rank, ids[left + right])
-        added = {token["content"]: token["id"] for token in parsed["added_tokens"]}
-        self.added = added
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self.bytes_of = {i: bytes(byte_of[c] for c in token) for token, i in ids.items()}
-        self.bytes_of |= {i: content.encode() for content, i in added.items()}
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def piece_ids(self, piece: str) -> bytes:
-        """The ids of a piece, four bytes each.
-
-        Short pieces are remembered in two generations: when the recent one is full it becomes the
-        older one, and what is met again there moves back.
-        """
-        found = self.recent.get(piece)
-        if found is not None:
-            return found
-        found = self.older.get(piece)
-        if found is None:
-            found = array("i", merged([self.first[b] for b in piece.encode()], self.merges)).tobytes()
-        if len(piece) <= LONGEST_REMEMBERED:
-            if len(self.recent) >= REMEMBERED // 2:
-                self.older, self.recent = self.recent, {}
-            self.recent[piece] = found
-        return found
+            merges[ids[left], ids[right]] = (rank, ids[left + right])
+        return Remembered(
+            lambda piece: array("i", merged([first[b] for b in piece.encode()], merges)).tobytes()
+        )
 
     def encode(self, text: str) -> array:
-        plain, rare, careful = piece_patterns()
-        pieces = plain if text.isascii() or not rare.search(text) else careful
-        parts = self.cut.split(text) if self.cut and self.cut.search(text) else [text]
+        pattern = piece_pattern(0x110000 if BEYOND_PLANE_0.search(text) else 0x10000)
         ids = array("i")
-        for part in parts:
+        for part in self.cut.split(text):
             if part in self.added:
                 ids.append(self.added[part])
             else:
-                ids.frombytes(b"".join(map(self.piece_ids, pieces.findall(part))))
+                ids.frombytes(b"".join(map(self.pieces.__getitem__, pattern.findall(part))))
         return ids
 
     def decode(self, ids) -> str:
