@@ -1,8 +1,8 @@
 """Command line of the three jobs, for ``spark-submit`` with this package installed.
 
     spark-submit carebase/jobs.py refine --raw s3a://lake/raw --refined s3a://lake/refined
-    spark-submit carebase/jobs.py ingest --inbox s3a://inbox --state s3a://lake/state \\
-        --refined s3a://lake/refined
+    spark-submit carebase/jobs.py ingest --inbox s3a://inbox --landing s3a://lake/raw \\
+        --state s3a://lake/state --refined s3a://lake/refined
     spark-submit carebase/jobs.py views --refined s3a://lake/refined --curated s3a://lake/curated
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from carebase.datasets import CLAIMS, STAFFING
+from carebase.datasets import CLAIMS, STAFFING, pick_datasets
 from carebase.functions.columns import BAD_VALUE_MODES
 from carebase.plans.ingest import ingest
 from carebase.plans.refine import RefineOptions, refine_all
@@ -35,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     reading.add_argument("--fail-on-missing", action="store_true")
     reading.add_argument("--keep-going", action="store_true", help="succeed if datasets failed")
     reading.add_argument("--ignore-lineage", action="store_true")
+    reading.add_argument("--single-line", default="", help="comma list of datasets to be split")
     reading.add_argument("--on-bad-value", choices=BAD_VALUE_MODES, default="raise")
 
     refine = jobs.add_parser("refine", parents=[reading])
@@ -44,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     run = jobs.add_parser("ingest", parents=[reading])
     run.add_argument("--inbox", required=True)
     run.add_argument("--state", required=True)
+    run.add_argument("--landing", help="copy files there first; without it they are read in place")
     run.add_argument("--bucket", default="")
     run.add_argument("--prefix", default="")
 
@@ -74,6 +76,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         skip_missing=not args.fail_on_missing,
         ignore_lineage=args.ignore_lineage,
         on_bad_value=args.on_bad_value,
+        single_line=frozenset(pick_datasets(args.single_line)) if args.single_line else frozenset(),
     )
     common = {"fail_on_error": not args.keep_going, "options": options}
     if args.job == "refine":
@@ -84,6 +87,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             list_files(spark, args.inbox),
             args.state,
             args.refined,
+            landing_root=args.landing,
             bucket=args.bucket,
             prefix=args.prefix,
             **common,

@@ -8,10 +8,10 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carebase.datasets import UNMAPPED
+from carebase.datasets import UNMAPPED, dataset_path
 from carebase.operators.changes import PENDING, detect_changes, ingest_counts, stale_datasets
 from carebase.operators.routing import route_files
-from carebase.operators.state import append_state, read_state, state_rows
+from carebase.operators.state import read_state, record_state, state_rows
 from carebase.plans.refine import (
     PROCESSED,
     RefineOptions,
@@ -20,6 +20,7 @@ from carebase.plans.refine import (
     utc_now,
 )
 from carebase.session import written
+from carebase.sources.landing import finish_earlier_runs, land
 
 
 @dataclass(frozen=True)
@@ -51,18 +52,24 @@ def ingest(
     state_path: str,
     refined_root: str,
     *,
+    landing_root: str | None = None,
     bucket: str = "",
     prefix: str = "",
     run_ts: str | None = None,
     fail_on_error: bool = True,
     options: RefineOptions | None = None,
 ) -> IngestRun:
-    """Refines every dataset that has a new or changed CSV in ``listing``.
+    """Lands and refines every dataset that has a new or changed CSV in ``listing``.
 
-    ``listing`` has a ``path`` column that Spark can read; no file is copied. With mode
-    ``overwrite`` a dataset is rebuilt from all of its files, with ``append`` only the new
-    and changed ones are added. A file enters the state when its dataset has been written,
-    so a failed dataset is tried again by the next run. Files without a rule enter it at once.
+    ``listing`` has a ``path`` column. With a ``landing_root``, new and changed files are copied
+    to ``<landing_root>/<prefix>/<dataset>/`` first, those without a rule to ``_unmapped`` there,
+    in place of older versions; mode ``overwrite`` then rebuilds a dataset from its landed folder,
+    so rows of a file that has left the listing stay. Without one, files are read where they are,
+    no file is copied, and ``overwrite`` rebuilds a dataset from the files of the listing. With mode
+    ``append`` only the rows of new and changed files are added.
+
+    A file enters the state when its dataset has been written, so a failed dataset is tried again
+    by the next run. Files without a rule enter it at once.
     """
     options = options or RefineOptions()
     run_ts = run_ts or utc_now()
@@ -70,15 +77,27 @@ def ingest(
     changes = written(
         detect_changes(route_files(listing, prefix), read_state(spark, state_path)), "changes"
     )
-    pick = changed_dataset_files if options.mode == "append" else dataset_files
     stale = [row.dataset for row in stale_datasets(changes).orderBy("dataset").collect()]
-    sources = {dataset: pick(changes, dataset) for dataset in stale}
+    if landing_root is not None:
+        if changes.where(PENDING).isEmpty():
+            finish_earlier_runs(spark, landing_root)
+        else:
+            land(changes.where(PENDING), landing_root)
+        landed_path = F.concat(F.lit(f"{landing_root.rstrip('/')}/"), "target_path")
+        changes = changes.withColumn("path", landed_path)
+    if options.mode == "append":
+        sources = {dataset: changed_dataset_files(changes, dataset) for dataset in stale}
+    elif landing_root is not None:
+        folder = dataset_path(landing_root, prefix.strip("/")).rstrip("/")
+        sources = {dataset: dataset_path(folder, dataset) for dataset in stale}
+    else:
+        sources = {dataset: dataset_files(changes, dataset) for dataset in stale}
     results = refine_sources(spark, sources, refined_root, run_ts, options)
 
     landed = [row["dataset"] for row in results if row["status"] == PROCESSED]
     done = changes.where(PENDING).where(F.col("dataset").isin(UNMAPPED, *landed))
     if not done.isEmpty():
-        append_state(state_rows(done, bucket, _utc_without_zone(run_ts)), state_path)
+        record_state(state_rows(done, bucket, _utc_without_zone(run_ts)), state_path)
     counts = ingest_counts(changes, (UNMAPPED, *landed))
     return IngestRun(counts, results_table(spark, results, fail_on_error))
 

@@ -15,9 +15,11 @@ from carebase.operators.changes import (
 )
 from carebase.operators.routing import name_clashes, route_files
 from carebase.operators.state import (
+    FOLD_AFTER,
     STATE_SCHEMA,
-    append_state,
+    StateTable,
     read_state,
+    record_state,
     state_rows,
     upsert_state,
 )
@@ -27,6 +29,7 @@ from carebase.plans.views import curated_views, register_views, write_views
 from carebase.session import scratch_path
 from carebase.sources.listing import list_files
 from carebase.sources.refined import read_refined
+from carebase.sources.versions import VersionConflict, VersionLog
 
 T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
 LISTING = "file_id string, file_name string, modified_time timestamp_ntz, path string"
@@ -118,14 +121,79 @@ def test_state_log_keeps_the_last_version(spark, tmp_path):
     path = str(tmp_path / "state")
     assert read_state(spark, path).count() == 0
     routed = route_files(listing(spark, ("1", OWNERSHIP, T1), ("2", PENALTIES, T1)))
-    append_state(state_rows(routed, "b", "2024-01-03T00:00:00"), path)
+    record_state(state_rows(routed, "b", "2024-01-03T00:00:00"), path)
     newer = route_files(listing(spark, ("1", OWNERSHIP, T2)))
-    append_state(state_rows(newer, "b", "2024-01-04T00:00:00"), path)
+    record_state(state_rows(newer, "b", "2024-01-04T00:00:00"), path)
     rows = {row.file_id: row for row in read_state(spark, path).collect()}
     assert {name: row.modified_time for name, row in rows.items()} == {"1": T2, "2": T1}
     assert rows["1"].key == f"nh_ownership/{OWNERSHIP}"
 
 
+def recorded(spark, name, time, day):
+    routed = route_files(listing(spark, (name, OWNERSHIP, time)))
+    return state_rows(routed, "b", f"2024-02-{day:02d}T00:00:00")
+
+
+def test_state_log_is_folded_and_old_folders_go(spark, tmp_path):
+    path = str(tmp_path / "state")
+    for day in range(1, FOLD_AFTER + 3):
+        record_state(recorded(spark, f"f{day % 5}", T1, day), path)
+    table = StateTable(spark, path)
+    snapshot, log = table.folders
+    assert snapshot and len(log) == 2
+    newest = {row.file_id: row.last_processed_at.day for row in table.read().collect()}
+    assert newest == {f"f{day % 5}": day for day in range(FOLD_AFTER - 2, FOLD_AFTER + 3)}
+    table.clean_up(keep=1)
+    assert table.log.data_folders() == sorted([snapshot, *log])
+    assert StateTable(spark, path).read().count() == 5
+
+
+def test_readers_keep_to_their_version(spark, tmp_path):
+    path = str(tmp_path / "state")
+    record_state(recorded(spark, "a", T1, 1), path)
+    reader = StateTable(spark, path)
+    record_state(recorded(spark, "b", T1, 2), path)
+    StateTable(spark, path).fold()
+    assert [row.file_id for row in reader.read().collect()] == ["a"]
+    assert {row.file_id for row in read_state(spark, path).collect()} == {"a", "b"}
+
+
+def test_a_crash_between_two_steps_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "state")
+    record_state(recorded(spark, "a", T1, 1), path)
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(VersionLog, "commit", crash)
+        with pytest.raises(OSError):
+            record_state(recorded(spark, "b", T1, 2), path)
+    assert [row.file_id for row in read_state(spark, path).collect()] == ["a"]
+    record_state(recorded(spark, "b", T1, 2), path)
+    assert read_state(spark, path).count() == 2
+
+
+def test_two_writers_at_once_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "state")
+    one, two = StateTable(spark, path), StateTable(spark, path)
+    one.record(recorded(spark, "a", T1, 1))
+    two.record(recorded(spark, "b", T1, 2))
+    assert {row.file_id for row in read_state(spark, path).collect()} == {"a", "b"}
+    with pytest.raises(VersionConflict):
+        one.log.commit(one.version, {"snapshot": None, "log": []})
+    # A fold that comes too late changes nothing.
+    one.fold()
+    assert read_state(spark, path).count() == 2
+
+
+def test_what_is_recorded_later_wins_whatever_the_times_say(spark, tmp_path):
+    path = str(tmp_path / "state")
+    record_state(recorded(spark, "a", T2, 9), path)
+    record_state(recorded(spark, "a", T1, 3), path)
+    assert [row.modified_time for row in read_state(spark, path).collect()] == [T1]
+
+
 def staffing_csv(rows):
     hours = (*HOURS, *EMPLOYEE_HOURS, *CONTRACTOR_HOURS)
     header = ",".join(["PROVNUM", "STATE", "WorkDate", "MDScensus", *hours])
