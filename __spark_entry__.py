@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +24,14 @@ from carebase.fixtures import with_ctes
 from carebase.functions.names import normalize_columns
 from carebase.operators import changes, dedupe, routing
 from carebase.operators.cleaning import standardize_missing
-from carebase.operators.state import upsert_state
+from carebase.operators.state import STATE_SCHEMA, read_state, record_state
 from carebase.plans import curated
+from carebase.plans.ingest import ingest
 from carebase.plans.refine import RefineOptions, refine_all
+from carebase.plans.view_store import ViewStore, store_curated_views
 from carebase.plans.views import curated_views, register_views, write_views
 from carebase.session import scratch_path
+from carebase.sources.listing import list_files
 from carebase.sources.refined import read_refined, write_refined
 
 try:
@@ -83,9 +87,21 @@ def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upserted_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of earlier runs and then the files of this one recorded, and read back."""
+    path = scratch_path(spark, "state")
     known = fixtures.state(spark, sf_dir)
     done = changes.changed_files(_routed(spark, sf_dir), known)
-    return upsert_state(known, done.select("file_id", "file_name", "modified_time"))
+    for i, rows in enumerate((known, done)):
+        columns = ("file_id", "file_name", "modified_time")
+        given = {"last_processed_at": f"timestamp_ntz'2024-01-0{i + 1}'"} | {c: c for c in columns}
+        fields = (field.split() for field in STATE_SCHEMA.split(", "))
+        record_state(
+            rows.selectExpr(
+                *[f"cast({given.get(name, 'null')} as {kind}) as {name}" for name, kind in fields]
+            ),
+            path,
+        )
+    return read_state(spark, path).select("file_id", "file_name", "modified_time")
 
 
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,6 +153,84 @@ def refine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.select("dataset", "status", "rows_in", "rows_out", "duplicates", "bad_cells")
 
 
+# --- landing ----------------------------------------------------------------
+# The customers fall into slices, one file each. By slice % 5: a file that leaves after the first
+# round, one that changes, one of another dataset, one without a rule, one that is added.
+SLICES = 40
+PROVIDERS, OWNERS = "nh_provider_info", "nh_ownership"
+LANDED_NAMES = f"""concat(
+    case slice % 5 when 2 then 'NH_Ownership_' when 3 then 'Odd_' else 'NH_ProviderInfo_' end,
+    slice, '.csv')"""
+LANDED_TYPES = {"c_custkey": "bigint", "c_acctbal": "double"}
+
+
+def _inbox(spark: SparkSession, sf_dir: str, kinds: tuple[int, ...], raised: int, time: str):
+    """The listing of files that hold the slices of some kinds, balances raised by a number."""
+    folder = scratch_path(spark, "inbox")
+    rows = fixtures.dirty(spark, sf_dir).selectExpr(
+        "c_custkey", f"c_acctbal + {raised} as c_acctbal", "seg", f"c_custkey % {SLICES} as slice"
+    )
+    kept = rows.where(F.expr("slice % 5").isin(*kinds)).repartition("slice")
+    kept.write.partitionBy("slice").csv(folder, header=True, escape='"')
+    files = list_files(spark, folder).withColumn(
+        "slice", F.regexp_extract("path", r"slice=(\d+)", 1).cast("int")
+    )
+    return files.selectExpr(
+        "concat('f', slice) as file_id",
+        f"{LANDED_NAMES} as file_name",
+        f"timestamp_ntz'{time}' as modified_time",
+        "path",
+    )
+
+
+def _two_rounds(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Two runs over inboxes that differ by removed, changed and added files; returns the roots."""
+    roots = {name: scratch_path(spark, name) for name in ("lake", "state", "refined")}
+    options = RefineOptions(types={PROVIDERS: LANDED_TYPES, OWNERS: LANDED_TYPES})
+    first = _inbox(spark, sf_dir, (0, 1, 2, 3), 0, "2024-01-01")
+    second = first.where("substr(file_id, 2) % 5 in (2, 3)").unionByName(
+        _inbox(spark, sf_dir, (1, 4), 1, "2024-01-02")
+    )
+    for i, listing in enumerate((first, second)):
+        ingest(
+            spark,
+            listing,
+            roots["state"],
+            roots["refined"],
+            landing_root=roots["lake"],
+            prefix="raw",
+            run_ts=f"2024-02-0{i + 1}T00:00:00+00:00",
+            options=options,
+        )
+    return roots
+
+
+def landed_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs have refined, and the rows of the landed files that no rule takes."""
+    roots = _two_rounds(spark, sf_dir)
+
+    def rows(df: DataFrame, dataset: str) -> DataFrame:
+        file_name = "element_at(split(source_file, '/'), -1) as file_name"
+        types = {"c_custkey": "bigint", "c_acctbal": "double", "seg": "string"}
+        cells = [f"cast({name} as {kind}) as {name}" for name, kind in types.items()]
+        return df.selectExpr(f"'{dataset}' as dataset", file_name, *cells)
+
+    odd = spark.read.csv(f"{roots['lake']}/raw/{UNMAPPED}", header=True, escape='"')
+    odd = standardize_missing(odd.withColumn("source_file", F.col("_metadata.file_path")))
+    tables = [
+        rows(read_refined(spark, roots["refined"], name), name) for name in (PROVIDERS, OWNERS)
+    ]
+    return tables[0].unionByName(tables[1]).unionByName(rows(odd, UNMAPPED))
+
+
+def landed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after two runs."""
+    state = read_state(spark, _two_rounds(spark, sf_dir)["state"])
+    return state.select(
+        "file_id", "file_name", "modified_time", "key", "dataset_folder", "last_processed_at"
+    )
+
+
 # --- curated ----------------------------------------------------------------
 def total_nurse_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.total_nurse_hours(fixtures.staffing(spark, sf_dir))
@@ -166,21 +260,59 @@ def staffing_vs_readmission(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Each view as (key, value1, value2, value3); lists of the same for Spark and DuckDB.
+VIEW_VALUES = {
+    "total_nurse_hours": ("cast(month_start as {text})", "total_nursing_hours", "0e0", "0e0"),
+    "employee_vs_contractor_ratio": (
+        "cast(month_start as {text})",
+        "employee_hours",
+        "contractor_hours",
+        "pct_employee_hours",
+    ),
+    "staffing_vs_patient_load": ("''", "avg_daily_census", "total_nursing_hours", "nhppd"),
+    "lowest_staffing_vs_patient_load": ("''", "avg_daily_census", "total_nursing_hours", "nhppd"),
+    "staffing_levels_vs_readmission_rates": (
+        "cast(measure_code as {text}) || measure_description || resident_type || measure_period",
+        "total_nursing_hours",
+        "nhppd",
+        "readmission_value",
+    ),
+}
+
+
+def _view_values(name: str, text: str) -> list[str]:
+    names = ("key", "value1", "value2", "value3")
+    values = (value.format(text=text) for value in VIEW_VALUES[name])
+    cells = [f"{value} as {column}" for value, column in zip(values, names, strict=True)]
+    return [f"'{name}' as view", "provnum", "state", *cells]
+
+
+def _all_views(views: dict[str, DataFrame]) -> DataFrame:
+    rows = [df.selectExpr(*_view_values(name, "string")) for name, df in views.items()]
+    return functools.reduce(DataFrame.unionAll, rows)
+
+
 def written_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five views written in one pass over the facts; row counts of what was written."""
+    """All five views written in one pass over the facts, and read back."""
     paths = write_views(
         fixtures.staffing(spark, sf_dir),
         fixtures.claims(spark, sf_dir),
         scratch_path(spark, "curated"),
+        load_tie_break=("provnum", "state"),
+        claims_tie_break=("row_id",),
     )
-    counts = [
-        spark.read.parquet(path).agg(F.lit(name).alias("view"), F.count("*").alias("n_rows"))
-        for name, path in paths.items()
-    ]
-    report = counts[0]
-    for count in counts[1:]:
-        report = report.unionAll(count)
-    return report
+    return _all_views({name: spark.read.parquet(path) for name, path in paths.items()})
+
+
+def stored_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions stored by one session; all five views read by another one."""
+    root, store = scratch_path(spark, "refined"), scratch_path(spark, "views")
+    write_refined(fixtures.staffing(spark, sf_dir), root, STAFFING)
+    write_refined(fixtures.claims(spark, sf_dir), root, CLAIMS)
+    store_curated_views(spark, store, root, ("provnum", "state"), ("row_id",))
+    other = spark.newSession()
+    ViewStore(other, store).replay()
+    return _all_views({name: other.table(name) for name in VIEW_VALUES})
 
 
 def registered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +339,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "staffing_vs_readmission": staffing_vs_readmission,
         "latest_claims": latest_claims,
         "written_views": written_views,
+        "stored_views": stored_views,
         "registered_view": registered_view,
         "route_files": route_files,
         "unmapped_files": unmapped_files,
@@ -222,6 +355,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedupe_report": dedupe_report,
         "refine_csv_roundtrip": refine_csv_roundtrip,
         "refine_report": refine_report,
+        "landed_rounds": landed_rounds,
+        "landed_state": landed_state,
     }
 
 
@@ -306,6 +441,27 @@ _REPORT = f"""
     FROM (SELECT DISTINCT c_custkey, c_acctbal, {_SEGMENT} AS seg FROM dirty_copies)"""
 
 
+_ALL_VIEWS = " UNION ALL ".join(
+    f"SELECT {', '.join(_view_values(name, 'varchar'))} FROM ({query})"
+    for name, query in {
+        "total_nurse_hours": _MONTHLY_HOURS,
+        "employee_vs_contractor_ratio": _MONTHLY_SHARE,
+        "staffing_vs_patient_load": _LOAD,
+        "lowest_staffing_vs_patient_load": _LOWEST,
+        "staffing_levels_vs_readmission_rates": _READMISSION,
+    }.items()
+)
+
+_SLICED = f"""
+    SELECT *, concat('f', slice::varchar) AS file_id,
+           concat(CASE slice % 5 WHEN 2 THEN 'NH_Ownership_' WHEN 3 THEN 'Odd_'
+                  ELSE 'NH_ProviderInfo_' END, slice::varchar, '.csv') AS file_name,
+           CASE slice % 5 WHEN 2 THEN 'nh_ownership' WHEN 3 THEN '_unmapped'
+                ELSE 'nh_provider_info' END AS dataset,
+           slice % 5 IN (1, 4) AS is_second
+    FROM (SELECT *, (c_custkey % {SLICES})::int AS slice FROM dirty)"""
+
+
 def oracle_sql() -> dict[str, str]:
     def listed(query: str) -> str:
         return with_ctes(query, "listing", "state")
@@ -320,17 +476,8 @@ def oracle_sql() -> dict[str, str]:
         "lowest_staffing_vs_patient_load": with_ctes(_LOWEST, "staffing"),
         "staffing_vs_readmission": with_ctes(_READMISSION, "staffing", "claims"),
         "latest_claims": with_ctes(_LATEST, "claims"),
-        "written_views": with_ctes(
-            f"""
-            SELECT 'total_nurse_hours' AS view, count(*) AS n_rows FROM ({_MONTHLY_HOURS})
-            UNION ALL SELECT 'employee_vs_contractor_ratio', count(*) FROM ({_MONTHLY_SHARE})
-            UNION ALL SELECT 'staffing_vs_patient_load', count(*) FROM ({_LOAD})
-            UNION ALL SELECT 'lowest_staffing_vs_patient_load', count(*) FROM ({_LOWEST})
-            UNION ALL SELECT 'staffing_levels_vs_readmission_rates', count(*)
-            FROM ({_READMISSION})""",
-            "staffing",
-            "claims",
-        ),
+        "written_views": with_ctes(_ALL_VIEWS, "staffing", "claims"),
+        "stored_views": with_ctes(_ALL_VIEWS, "staffing", "claims"),
         "registered_view": with_ctes(_LOAD, "staffing"),
         "route_files": with_ctes(
             f"SELECT file_id, file_name, dataset, target_path, is_unmapped FROM ({_ROUTED})",
@@ -387,6 +534,23 @@ def oracle_sql() -> dict[str, str]:
             FROM dirty_copies""",
             "dirty_copies",
         ),
+        "landed_rounds": with_ctes(
+            f"""SELECT DISTINCT dataset, file_name, c_custkey,
+                       c_acctbal + CASE WHEN is_second THEN 1 ELSE 0 END AS c_acctbal,
+                       {_SEGMENT} AS seg
+            FROM ({_SLICED})""",
+            "dirty",
+        ),
+        "landed_state": with_ctes(
+            f"""SELECT DISTINCT file_id, file_name, concat('raw/', dataset, '/', file_name) AS key,
+                       dataset AS dataset_folder,
+                       CASE WHEN is_second THEN TIMESTAMP '2024-01-02'
+                            ELSE TIMESTAMP '2024-01-01' END AS modified_time,
+                       CASE WHEN is_second THEN TIMESTAMP '2024-02-02'
+                            ELSE TIMESTAMP '2024-02-01' END AS last_processed_at
+            FROM ({_SLICED})""",
+            "dirty",
+        ),
         "refine_report": with_ctes(
             f"""SELECT '{MESSY_DATASET}' AS dataset, 'processed' AS status, rows_in, rows_out,
                        rows_in - rows_out AS duplicates, cast(0 AS bigint) AS bad_cells

@@ -1,9 +1,10 @@
-"""Command line of the three jobs, for ``spark-submit`` with this package installed.
+"""Command line of the jobs, for ``spark-submit`` with this package installed.
 
     spark-submit carebase/jobs.py refine --raw s3a://lake/raw --refined s3a://lake/refined
     spark-submit carebase/jobs.py ingest --inbox s3a://inbox --landing s3a://lake/raw \\
         --state s3a://lake/state --refined s3a://lake/refined
     spark-submit carebase/jobs.py views --refined s3a://lake/refined --curated s3a://lake/curated
+    spark-submit carebase/jobs.py register --refined s3a://lake/refined --store s3a://lake/views
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from carebase.datasets import CLAIMS, STAFFING, pick_datasets
 from carebase.functions.columns import BAD_VALUE_MODES
 from carebase.plans.ingest import ingest
 from carebase.plans.refine import RefineOptions, refine_all
+from carebase.plans.view_store import store_curated_views
 from carebase.plans.views import write_views
 from carebase.session import session_builder
 from carebase.sources.listing import list_files
@@ -53,12 +55,20 @@ def _parser() -> argparse.ArgumentParser:
     views.add_argument("--refined", required=True)
     views.add_argument("--curated", required=True)
     views.add_argument("--on-bad-value", choices=("raise", "null"), default="raise")
+
+    register = jobs.add_parser("register")
+    register.add_argument("--refined", required=True)
+    register.add_argument("--store", required=True)
     return parser
 
 
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(arguments)
     spark = spark or session_builder(f"carebase-{args.job}").getOrCreate()
+    if args.job == "register":
+        store = store_curated_views(spark, args.store, args.refined, ("provnum", "state"))
+        print("\n".join(store.definitions()))
+        return
     if args.job == "views":
         paths = write_views(
             read_refined(spark, args.refined, STAFFING),
