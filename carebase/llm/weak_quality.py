@@ -8,7 +8,9 @@
    words, symbols and binned measures is trained. Its weights, of a fixed number, score every
    document in one pass without a shuffle.
 
-The sample is the one bounded step: ``SAMPLE`` documents, taken by a hash of id and text. Votes,
+The sample is the one bounded step: ``SAMPLE`` different texts, those of the lowest hashes, each
+with the number of its copies as its weight, and of each up to ``SAMPLED_WORDS`` of its distinct
+words. So a large group of copies takes one place, and the same table gives the same model. Votes,
 counts and scores cover all documents and whole texts.
 
 Nulls and edge cases: a null text is an empty one; a text without words gets no vote and is not
@@ -21,6 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,7 @@ from carebase.session import written
 
 BUCKETS = 2**16
 SAMPLE = 5000
+SAMPLED_WORDS = 4096
 EM_STEPS = 100
 TRAIN_STEPS = 200
 RATE, MOMENTUM, DECAY = 1.0, 0.9, 1e-4
@@ -190,26 +194,35 @@ def featured(docs: DataFrame, key: Column) -> DataFrame:
     )
 
 
-def train_scorer(rows: list[tuple[list[int], list[int]]], bad: np.ndarray) -> np.ndarray:
+def _entries(words_: pa.Array, marks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and value of each feature, the intercept of each row last."""
+    n = len(words_)
+    sizes = [np.diff(lists.offsets.to_numpy()) for lists in (words_, marks)]
+    damped = 1 / np.maximum(1, sizes[0] ** 0.5 / FULL_ROOT)
+    owner = np.concatenate([np.repeat(np.arange(n), size) for size in sizes] + [np.arange(n)])
+    bucket = np.concatenate([words_.flatten(), marks.flatten(), np.full(n, BUCKETS)])
+    value = np.ones(len(owner))
+    value[: sizes[0].sum()] = np.repeat(damped, sizes[0])
+    return owner, bucket.astype(np.int64), value
+
+
+def train_scorer(
+    entries: tuple[np.ndarray, np.ndarray, np.ndarray], bad: np.ndarray, copies: np.ndarray
+) -> np.ndarray:
     """Logistic regression on presence of words and marks; the last weight is the intercept.
 
-    The words of long documents count less each, so that many words do not drown a mark.
+    The words of long documents count less each, so that many words do not drown a mark. A text
+    counts as often as it occurs.
     """
     weights = np.zeros(BUCKETS + 1)
-    if not len(rows):
+    if not len(bad):
         return weights
-    owner = np.repeat(np.arange(len(rows)), [len(w) + len(m) + 1 for w, m in rows])
-    bucket = np.array([b for w, m in rows for b in (*w, *m, BUCKETS)], dtype=np.int64)
-    value = np.concatenate(
-        [
-            np.append(np.full(len(w), 1 / max(1, len(w) ** 0.5 / FULL_ROOT)), np.ones(len(m) + 1))
-            for w, m in rows
-        ]
-    )
+    owner, bucket, value = entries
+    share = copies / copies.sum()
     speed = np.zeros(BUCKETS + 1)
     for _ in range(TRAIN_STEPS):
-        margin = np.bincount(owner, weights[bucket] * value, len(rows))
-        error = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - bad) / len(rows)
+        margin = np.bincount(owner, weights[bucket] * value, len(bad))
+        error = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - bad) * share
         slope = np.bincount(bucket, error[owner] * value, BUCKETS + 1) + DECAY * weights
         speed = MOMENTUM * speed - RATE * slope
         weights += speed
@@ -224,25 +237,43 @@ class QualityModel:
     weights: dict[str, np.ndarray]
 
 
+def sampled(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Up to ``sample`` different rows, those of the lowest hashes, with the number of copies.
+
+    Rows are told apart by a hash of votes and features; only what may be in the sample is grouped
+    with its features.
+    """
+    hashed = rows.withColumn("place", F.xxhash64(*TARGETS, "buckets", "marks"))
+    different = hashed.select("place").distinct().count()
+    # Twice the share that would do on average; the lowest of them are then taken exactly.
+    share = min(1.0, 2 * sample / max(different, 1) + 0.001)
+    low = hashed.where(F.col("place") <= int(-(2**63) + share * (2**64 - 1)) if share < 1 else F.lit(True))
+    first = F.slice(F.array_sort("buckets"), 1, SAMPLED_WORDS).alias("buckets")
+    grouped = low.select("place", *TARGETS, first, "marks").groupBy("place")
+    kept = (*TARGETS, "buckets", "marks")
+    texts = grouped.agg(F.count("*").alias("copies"), *(F.first(name).alias(name) for name in kept))
+    return texts.orderBy("place").limit(sample)
+
+
 def fit(rows: DataFrame, sample: int = SAMPLE) -> QualityModel:
     """Fits on the stored votes and buckets of all documents."""
     beliefs = {
         name: fit_labellers({r[0]: r[1] for r in rows.groupBy(name).count().collect()})
         for name in TARGETS
     }
-    share = min(1.0, sample / max(rows.count(), 1))
-    place = F.xxhash64("key", "buckets").bitwiseAND(2**31 - 1)
-    chosen = rows.where(place <= int(share * (2**31 - 1)))
-    # By chance there may be a few more; the bound is twice as many.
-    chosen = chosen.limit(2 * sample)
-    chosen = chosen.select(*TARGETS, "buckets", "marks").collect()
-    listed = [(r["buckets"], r["marks"]) for r in chosen]
+    chosen = sampled(rows, sample).select("copies", *TARGETS, "buckets", "marks").toArrow()
+    chosen = chosen.combine_chunks()
+    buckets, marks = (
+        chosen[name].chunk(0) if chosen.num_rows else pa.array([], pa.list_(pa.int32()))
+        for name in ("buckets", "marks")
+    )
+    entries, copies = _entries(buckets, marks), chosen["copies"].to_numpy()
+    bad = {
+        name: np.array([beliefs[name][pattern] for pattern in chosen[name].to_pylist()])
+        for name in TARGETS
+    }
     return QualityModel(
-        beliefs,
-        {
-            name: train_scorer(listed, np.array([beliefs[name][r[name]] for r in chosen]))
-            for name in TARGETS
-        },
+        beliefs, {name: train_scorer(entries, bad[name], copies) for name in TARGETS}
     )
 
 
