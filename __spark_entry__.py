@@ -27,6 +27,7 @@ from carebase.operators.cleaning import standardize_missing
 from carebase.operators.state import STATE_SCHEMA, read_state, record_state
 from carebase.plans import curated
 from carebase.plans.ingest import ingest
+from carebase.plans.months import WORK_MONTH
 from carebase.plans.refine import RefineOptions, refine_all
 from carebase.plans.view_store import ViewStore, store_curated_views
 from carebase.plans.views import curated_views, register_views, write_views
@@ -231,6 +232,36 @@ def landed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rows of the second file from this day on stay in the second round, with another census.
+KEPT_FROM, FACTS_OF = 19960301, ("provnum", "state", "workdate", "mdscensus")
+
+
+def refreshed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staffing facts in months, of which the second of two runs rewrites those of one file."""
+    roots = {name: scratch_path(spark, name) for name in ("lake", "state", "refined")}
+    facts = fixtures.staffing(spark, sf_dir).select(*FACTS_OF)
+    half = "cast(provnum as int) % 2"
+    first = facts.selectExpr("*", f"{half} as half")
+    later = first.where(f"half = 1 and workdate >= {KEPT_FROM}").withColumn(
+        "mdscensus", F.expr("mdscensus + 1")
+    )
+    for i, rows in enumerate((first, later)):
+        folder = scratch_path(spark, "inbox")
+        rows.repartition("half").write.partitionBy("half").csv(folder, header=True)
+        listing = list_files(spark, folder).selectExpr(
+            "regexp_extract(path, 'half=([0-9])', 1) as file_id",
+            "concat('PBJ_Daily_Nurse_Staffing_', regexp_extract(path, 'half=([0-9])', 1), '.csv') as file_name",
+            f"timestamp_ntz'2024-01-0{i + 1}' as modified_time",
+            "path",
+        )
+        options = RefineOptions(partition={STAFFING: WORK_MONTH})
+        ingest(spark, listing, roots["state"], roots["refined"], landing_root=roots["lake"], options=options)
+    stored = read_refined(spark, roots["refined"], STAFFING)
+    return stored.groupBy("work_month", "state").agg(
+        F.count("*").alias("n_rows"), F.sum("mdscensus").alias("patient_days")
+    )
+
+
 # --- curated ----------------------------------------------------------------
 def total_nurse_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.total_nurse_hours(fixtures.staffing(spark, sf_dir))
@@ -357,6 +388,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "refine_report": refine_report,
         "landed_rounds": landed_rounds,
         "landed_state": landed_state,
+        "refreshed_months": refreshed_months,
     }
 
 
@@ -541,6 +573,15 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_SLICED})""",
             "dirty",
         ),
+        "refreshed_months": with_ctes(
+            f"""SELECT (workdate // 100)::int AS work_month, state, count(*) AS n_rows,
+                       sum(mdscensus::double) AS patient_days
+            FROM (SELECT DISTINCT provnum, state, workdate,
+                         mdscensus + provnum::int % 2 AS mdscensus
+                  FROM staffing WHERE provnum::int % 2 = 0 OR workdate >= {KEPT_FROM})
+            GROUP BY ALL""",
+            "staffing",
+        ),
         "landed_state": with_ctes(
             f"""SELECT DISTINCT file_id, file_name, concat('raw/', dataset, '/', file_name) AS key,
                        dataset AS dataset_folder,

@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 from carebase.datasets import CLAIMS, STAFFING, pick_datasets
 from carebase.functions.columns import BAD_VALUE_MODES
 from carebase.plans.ingest import ingest
+from carebase.plans.months import WORK_MONTH
 from carebase.plans.refine import RefineOptions, refine_all
 from carebase.plans.view_store import store_curated_views
 from carebase.plans.views import write_views
@@ -37,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     reading.add_argument("--fail-on-missing", action="store_true")
     reading.add_argument("--keep-going", action="store_true", help="succeed if datasets failed")
     reading.add_argument("--ignore-lineage", action="store_true")
+    reading.add_argument("--by-month", action="store_true", help="staffing in months")
     reading.add_argument("--single-line", default="", help="comma list of datasets to be split")
     reading.add_argument("--on-bad-value", choices=BAD_VALUE_MODES, default="raise")
 
@@ -86,6 +88,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         skip_missing=not args.fail_on_missing,
         ignore_lineage=args.ignore_lineage,
         on_bad_value=args.on_bad_value,
+        partition={STAFFING: WORK_MONTH} if args.by_month else {},
         single_line=frozenset(pick_datasets(args.single_line)) if args.single_line else frozenset(),
     )
     common = {"fail_on_error": not args.keep_going, "options": options}

@@ -64,7 +64,8 @@ def ingest(
     ``listing`` has a ``path`` column. With a ``landing_root``, new and changed files are copied
     to ``<landing_root>/<prefix>/<dataset>/`` first, those without a rule to ``_unmapped`` there,
     in place of older versions; mode ``overwrite`` then rebuilds a dataset from its landed folder,
-    so rows of a file that has left the listing stay. Without one, files are read where they are,
+    so rows of a file that has left the listing stay; of a partitioned dataset only the partitions
+    that new and changed files touch are rewritten. Without a landing root, files are read where they are,
     no file is copied, and ``overwrite`` rebuilds a dataset from the files of the listing. With mode
     ``append`` only the rows of new and changed files are added.
 
@@ -92,7 +93,9 @@ def ingest(
         sources = {dataset: dataset_path(folder, dataset) for dataset in stale}
     else:
         sources = {dataset: dataset_files(changes, dataset) for dataset in stale}
-    results = refine_sources(spark, sources, refined_root, run_ts, options)
+    by_parts = [dataset for dataset in stale if dataset in options.partition and landing_root]
+    changed = {dataset: changed_dataset_files(changes, dataset) for dataset in by_parts}
+    results = refine_sources(spark, sources, refined_root, run_ts, options, changed)
 
     landed = [row["dataset"] for row in results if row["status"] == PROCESSED]
     done = changes.where(PENDING).where(F.col("dataset").isin(UNMAPPED, *landed))

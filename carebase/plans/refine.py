@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from carebase.functions.columns import check_bad_value_mode
 from carebase.functions.names import normalize_names
 from carebase.operators.cleaning import INGESTED_AT, SOURCE_FILE, clean
 from carebase.operators.dedupe import count_copies
+from carebase.plans.months import Partitioning, dealt_out, replace_files, with_partition
 from carebase.session import shuffle_partitions_for
 from carebase.sources.raw import (
     NoColumns,
@@ -22,7 +24,7 @@ from carebase.sources.raw import (
     scan_csv,
     total_bytes,
 )
-from carebase.sources.refined import check_write_mode, write_refined
+from carebase.sources.refined import check_write_mode, read_refined, write_refined
 
 logger = logging.getLogger(__name__)
 
@@ -57,6 +59,8 @@ class RefineOptions:
     they are not.
     ``on_bad_value``: ``raise`` fails the dataset when a declared type does not fit,
     ``null`` drops the cell and counts it in ``bad_cells``.
+    ``partition``: how the refined rows of a dataset are laid out, for those that shall be. When
+    files change, an incremental run then rewrites only the partitions that these files touch.
     """
 
     header: bool = True
@@ -67,6 +71,7 @@ class RefineOptions:
     on_bad_value: str = "raise"
     types: Mapping[str, Mapping[str, str]] = field(default_factory=lambda: DECLARED_TYPES)
     single_line: frozenset[str] = frozenset()
+    partition: Mapping[str, Partitioning] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "mode", check_write_mode(self.mode))
@@ -116,9 +121,15 @@ def refine_paths(
     refined_root: str,
     run_ts: str,
     options: RefineOptions,
+    changed: bool = False,
 ) -> dict:
-    """Refines one dataset and returns its result row. Errors are raised."""
+    """Refines one dataset and returns its result row. Errors are raised.
+
+    With ``changed``, ``paths`` are the new and changed files of a partitioned dataset, and only
+    their rows are put in place of older ones.
+    """
     types = options.types.get(dataset)
+    partitioning = options.partition.get(dataset)
     total = total_bytes(spark, paths)
     raw = scan_csv(
         spark,
@@ -137,6 +148,8 @@ def refine_paths(
         ignore_lineage=options.ignore_lineage,
         on_bad_value=options.on_bad_value,
     )
+    if partitioning and not changed:
+        df = dealt_out(with_partition(df, partitioning), partitioning)
     # Both counts are observed behind the shuffle, in the stage that writes. Tasks of that
     # stage count once each, however often earlier stages are run again after a loss.
     counts = Observation()
@@ -147,7 +160,14 @@ def refine_paths(
         F.sum(_BAD_CELLS).alias("bad_cells"),
     ).drop(_COPIES, _BAD_CELLS)
     with shuffle_partitions_for(spark, total):
-        path = write_refined(df, refined_root, dataset, options.mode)
+        if changed:
+            path = dataset_path(refined_root, dataset)
+            files = spark.read.format("binaryFile").load(paths)
+            files = files.select(F.col("_metadata.file_path").alias(SOURCE_FILE))
+            replace_files(spark, df, files, refined_root, dataset, partitioning)
+        else:
+            column = partitioning.column if partitioning else None
+            path = write_refined(df, refined_root, dataset, options.mode, column)
     seen = {name: value or 0 for name, value in counts.get.items()}
     return _result(
         dataset,
@@ -160,6 +180,28 @@ def refine_paths(
     )
 
 
+def takes_changes(
+    spark: SparkSession, refined_root: str, dataset: str, paths: list[str], options: RefineOptions
+) -> bool:
+    """Whether the stored dataset can take the rows of changed files by themselves.
+
+    It must be stored in the partitions asked for, with the source file as part of its rows and
+    with the columns of these files; anything else needs a rebuild.
+    """
+    partitioning = options.partition.get(dataset)
+    if partitioning is None or options.mode != "overwrite" or options.ignore_lineage:
+        return False
+    try:
+        stored = read_refined(spark, refined_root, dataset).columns
+        raw = scan_csv(spark, paths, header=options.header, sep=options.sep, infer=False)
+    except AnalysisException as error:
+        if is_missing_source(error):
+            return False
+        raise
+    names = normalize_names([*raw.columns, SOURCE_FILE, INGESTED_AT])
+    return names[-2] == SOURCE_FILE and stored == [*names, partitioning.column]
+
+
 def refine_all(
     spark: SparkSession,
     raw_root: str,
@@ -188,14 +230,23 @@ def refine_sources(
     refined_root: str,
     run_ts: str | None = None,
     options: RefineOptions | None = None,
+    changed: Mapping[str, list[str]] | None = None,
 ) -> list[dict]:
-    """One result row per dataset of ``sources`` (dataset to path or list of files)."""
+    """One result row per dataset of ``sources`` (dataset to path or list of files).
+
+    ``changed`` has the new and changed files of partitioned datasets, for those that can take
+    them by themselves; ``sources`` is what the others are rebuilt from.
+    """
     options = options or RefineOptions()
     run_ts = run_ts or utc_now()
     results = []
     for dataset, paths in sources.items():
         try:
-            result = refine_paths(spark, paths, dataset, refined_root, run_ts, options)
+            some = (changed or {}).get(dataset)
+            alone = bool(some) and takes_changes(spark, refined_root, dataset, some, options)
+            result = refine_paths(
+                spark, some if alone else paths, dataset, refined_root, run_ts, options, alone
+            )
         except Exception as error:
             missing = isinstance(error, NoColumns) or is_missing_source(error)
             status = SKIPPED if missing and options.skip_missing else FAILED

@@ -20,7 +20,13 @@ def check_write_mode(mode: str) -> str:
     return mode
 
 
-def write_refined(df: DataFrame, root: str, dataset: str, mode: str = "overwrite") -> str:
+def write_refined(
+    df: DataFrame,
+    root: str,
+    dataset: str,
+    mode: str = "overwrite",
+    partition_by: str | None = None,
+) -> str:
     """Writes a dataset; appending columns of other types than the stored ones is refused."""
     path = dataset_path(root, dataset)
     mode = check_write_mode(mode)
@@ -28,7 +34,8 @@ def write_refined(df: DataFrame, root: str, dataset: str, mode: str = "overwrite
         changed = _changed_types(df, path)
         if changed:
             raise ValueError(f"columns of other types than those stored: {', '.join(changed)}")
-    df.write.mode(mode).parquet(path)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return path
 
 
