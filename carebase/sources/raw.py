@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 from carebase.datasets import ID_COLUMNS
@@ -44,21 +44,18 @@ def scan_csv(
 
     All files must have the header of the first one; reading another one fails, because its
     columns would be dropped or swapped. Only headers with blank or repeated names, which Spark
-    numbers by position, are not compared.
+    numbers by position, are not compared. Whether names are such is seen from the header itself.
     """
-    reader = (
-        spark.read.option("header", header)
-        .option("sep", sep)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-    )
-    df = reader.option("inferSchema", infer).csv(paths)
+
+    def reader(**more) -> DataFrameReader:
+        options = {"header": header, "sep": sep, "multiLine": multi_line, "quote": '"', "escape": '"'}
+        return spark.read.options(**options | more)
+
+    df = reader(inferSchema=infer).csv(paths)
     if not df.columns:
         return df
-    checked = reader.option("inferSchema", False).option(
-        "enforceSchema", not header or has_numbered_names(df.columns)
-    )
+    numbered = header and may_be_numbered(df.columns) and has_numbered_names(reader(header=False), paths)
+    checked = reader(enforceSchema=not header or numbered)
     schema = T.StructType(
         [
             T.StructField(field.name, T.StringType())
@@ -70,12 +67,19 @@ def scan_csv(
     return checked.schema(schema).csv(paths)
 
 
-def has_numbered_names(names: list[str]) -> bool:
-    """Whether Spark seems to have made up names, for blank ones or to tell equal ones apart."""
+def may_be_numbered(names: list[str]) -> bool:
+    """Whether names could be made up by Spark, for blank ones or to tell equal ones apart."""
     stems = [n[: -len(str(i))].lower() for i, n in enumerate(names) if n.endswith(str(i))]
     return "_c" in stems or len(set(stems)) < len(stems)
 
 
+def has_numbered_names(reader: DataFrameReader, paths: str | list[str]) -> bool:
+    """Whether a header really has blank or repeated names; ``reader`` takes it for a row."""
+    row = reader.csv(paths).first()
+    names = [(name or "").lower() for name in row or ()]
+    return "" in names or len(set(names)) < len(names)
+
+
 def total_bytes(spark: SparkSession, paths: str | list[str]) -> int:
     """Bytes of all files together. Looks at file attributes only."""
     files = spark.read.format("binaryFile").load(paths)

@@ -263,6 +263,14 @@ def test_files_of_different_headers_fail_their_dataset(spark, roots):
     assert row.status == "failed"
 
 
+def test_names_that_only_look_numbered_are_compared(spark, roots):
+    put(roots[0], OTHER, a="q0,q1\n1,2\n", b="q1,q0,r\n20,10,5\n")
+    assert run(spark, roots, OTHER, fail_on_error=False)[OTHER].status == "failed"
+    put(roots[0], OTHER, b="q0,q1\n3,4\n")
+    run(spark, roots, OTHER)
+    assert sorted((r.q0, r.q1) for r in refined(spark, roots, OTHER).collect()) == [(1, 2), (3, 4)]
+
+
 def test_shuffle_partitions_follow_the_input(spark):
     name = "spark.sql.shuffle.partitions"
     for size, expected in ((0, "8"), (5 * 2**30, "21"), (10**15, str(10**15 // 2**28 + 1))):
