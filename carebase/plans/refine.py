@@ -18,6 +18,7 @@ from carebase.operators.cleaning import INGESTED_AT, SOURCE_FILE, clean
 from carebase.operators.dedupe import count_copies
 from carebase.plans.months import Partitioning, dealt_out, replace_files, with_partition
 from carebase.session import shuffle_partitions_for
+from carebase.sources.inference import SchemaRegistry, as_types, stored_as_text, types_of
 from carebase.sources.raw import (
     NoColumns,
     is_missing_source,
@@ -52,7 +53,8 @@ class RefineOptions:
     """How raw files are read and cleaned; the defaults fit the published files.
 
     ``types``: column types per dataset, by normalised name. A dataset listed here is read
-    as text and cast by name; any other one is inferred, which costs one more pass.
+    as text and cast by name. Of any other one the text is stored in one pass, which finds the
+    types, and then cast; they are kept in a registry, and ``reason`` tells which have changed.
     ``single_line``: datasets known to have no line breaks inside fields and one kind of line
     end, so that their files can be split. Files of other datasets take one task each.
     ``ignore_lineage``: rows equal but for their source file are duplicates too. By default
@@ -89,18 +91,21 @@ def refine(
     *,
     ignore_lineage: bool = False,
     on_bad_value: str = "raise",
+    located: bool = False,
 ) -> DataFrame:
     """Cleaned distinct rows of a file scan, plus two count columns for the report.
 
     The lineage columns are named together with the others, so they get a number when the
     file has columns of their names. The run time is the same for all rows and is added
-    after the shuffle.
+    after the shuffle. With ``located`` the last column is the file of each row.
     """
-    headers = [*raw.columns, SOURCE_FILE, INGESTED_AT]
+    if not located:
+        file_path = raw.metadataColumn("_metadata").getField("file_path")
+        raw = raw.select("*", file_path.alias(SOURCE_FILE))
+    headers = [*raw.columns[:-1], SOURCE_FILE, INGESTED_AT]
     *names, ingested_at = normalize_names(headers)
     source_file = names[-1]
-    file_path = raw.metadataColumn("_metadata").getField("file_path")
-    df = raw.select("*", file_path.alias(SOURCE_FILE)).toDF(*names)
+    df = raw.toDF(*names)
     df = clean(df, types or {}, on_bad_value, _BAD_CELLS, skip=(source_file,))
 
     aside = [_BAD_CELLS]
@@ -137,16 +142,23 @@ def refine_paths(
         header=options.header,
         sep=options.sep,
         multi_line=dataset not in options.single_line,
-        infer=types is None,
+        infer=False,
     )
     if not raw.columns:
         raise NoColumns("no columns")
+    registry, appending = SchemaRegistry(spark, refined_root, dataset), options.mode == "append"
+    if types is None:
+        stored, bits = stored_as_text(raw)
+        known = registry.bits() if appending else {}
+        kinds = {name: known.get(name, 0) | bit for name, bit in bits.items()}
+        raw = as_types(stored, types_of(kinds))
     df = refine(
         raw,
         run_ts,
         types,
         ignore_lineage=options.ignore_lineage,
         on_bad_value=options.on_bad_value,
+        located=types is None,
     )
     if partitioning and not changed:
         df = dealt_out(with_partition(df, partitioning), partitioning)
@@ -168,10 +180,12 @@ def refine_paths(
         else:
             column = partitioning.column if partitioning else None
             path = write_refined(df, refined_root, dataset, options.mode, column)
+    drift = registry.add(bits, replace=not appending) if types is None else []
     seen = {name: value or 0 for name, value in counts.get.items()}
     return _result(
         dataset,
         PROCESSED,
+        reason=f"types changed: {'; '.join(drift)}" if drift else None,
         refined_path=path,
         rows_in=seen["rows_in"],
         rows_out=seen["rows_out"],
@@ -186,10 +200,12 @@ def takes_changes(
     """Whether the stored dataset can take the rows of changed files by themselves.
 
     It must be stored in the partitions asked for, with the source file as part of its rows and
-    with the columns of these files; anything else needs a rebuild.
+    with the declared types and columns of these files; anything else needs a rebuild.
     """
     partitioning = options.partition.get(dataset)
-    if partitioning is None or options.mode != "overwrite" or options.ignore_lineage:
+    if partitioning is None or dataset not in options.types:
+        return False
+    if options.mode != "overwrite" or options.ignore_lineage:
         return False
     try:
         stored = read_refined(spark, refined_root, dataset).columns
