@@ -21,14 +21,14 @@ from carebase.datasets import (
     UNMAPPED,
 )
 from carebase.fixtures import with_ctes
-from carebase.functions.names import normalize_columns
+from carebase.functions.names import normalize_columns, normalize_names
 from carebase.operators import changes, dedupe, routing
 from carebase.operators.cleaning import standardize_missing
 from carebase.operators.state import STATE_SCHEMA, read_state, record_state
 from carebase.plans import curated
 from carebase.plans.ingest import ingest
 from carebase.plans.months import WORK_MONTH
-from carebase.plans.refine import RefineOptions, refine_all
+from carebase.plans.refine import RefineError, RefineOptions, refine_all, results_table
 from carebase.plans.view_store import ViewStore, store_curated_views
 from carebase.plans.views import curated_views, register_views, write_views
 from carebase.session import scratch_path
@@ -154,6 +154,84 @@ def refine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.select("dataset", "status", "rows_in", "rows_out", "duplicates", "bad_cells")
 
 
+# Three layouts of the same customers: columns in another order, and with one more, compressed.
+LAYOUTS = (
+    (("Cust Key", "Balance", "Seg 1", "Seg/1"), "none"),
+    (("seg 1", " BALANCE", "Seg/1", "Cust-Key"), "none"),
+    (("Group", "Seg 1", "Cust Key", "Balance", "SEG_1 "), "gzip"),
+)
+LAYOUT_COLUMNS = {
+    "cust_key": "c_custkey",
+    "balance": "c_acctbal",
+    "seg_1": "seg",
+    "seg_1_2": "cast(c_custkey % 5 as string)",
+    "group": "c_custkey % 7",
+}
+LAYOUT_TYPES = ("bigint", "double", "string", "bigint", "bigint")
+
+
+def united_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three headers, two with names that are equal once normalised, refined as one table."""
+    raw_root, refined_root = scratch_path(spark, "raw"), scratch_path(spark, "refined")
+    rows = fixtures.dirty(spark, sf_dir)
+    for i, (headers, codec) in enumerate(LAYOUTS):
+        some = rows.where(f"c_custkey % {len(LAYOUTS)} = {i}")
+        cells = [LAYOUT_COLUMNS[name] for name in normalize_names(headers)]
+        named = some.selectExpr(*cells).toDF(*headers)
+        options = {"header": True, "escape": '"', "compression": codec}
+        options |= {f"ignore{side}WhiteSpace": False for side in ("Leading", "Trailing")}
+        named.write.options(**options).mode("append").csv(f"{raw_root}/{MESSY_DATASET}")
+    refine_all(spark, raw_root, refined_root, MESSY_DATASET)
+    stored = read_refined(spark, refined_root, MESSY_DATASET)
+    cells = [f"cast({n} as {t}) as {n}" for n, t in zip(LAYOUT_COLUMNS, LAYOUT_TYPES, strict=True)]
+    return stored.selectExpr(*cells)
+
+
+def refine_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Datasets that are good, fail, have a header only, have no bytes, and are absent, in one run."""
+    raw_root, refined_root = scratch_path(spark, "raw"), scratch_path(spark, "refined")
+    rows = fixtures.dirty(spark, sf_dir)
+    sources = {
+        "nh_ownership": rows,
+        "nh_penalties": rows.selectExpr("if(c_custkey = 7, 'many', cast(c_acctbal as string)) as c_acctbal"),
+        "nh_survey_dates": rows.where("false"),
+    }
+    for name, df in sources.items():
+        df.write.csv(f"{raw_root}/{name}", header=True, escape='"')
+    rows.where("false").selectExpr("seg").coalesce(1).write.text(f"{raw_root}/nh_survey_summary")
+    names = " nh_ownership/, nh_penalties,nh_survey_dates, nh_survey_summary, swing_bed_snf"
+    options = RefineOptions(types={"nh_penalties": {"c_acctbal": "double"}})
+    try:
+        refine_all(spark, raw_root, refined_root, names, options=options)
+        results, raised = [], False
+    except RefineError as error:
+        results, raised = error.results, True
+    table = results_table(spark, results, fail_on_error=False)
+    return table.select("dataset", "status", "rows_in", "rows_out", F.lit(raised).alias("raised"))
+
+
+def refined_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that Spark wrote, listed, refined, and the rows and run time of each by file name."""
+    raw_root, refined_root = scratch_path(spark, "raw"), scratch_path(spark, "refined")
+    rows = fixtures.dirty(spark, sf_dir).withColumn("slice", F.expr(f"c_custkey % {SLICES}"))
+    by_slice = rows.repartition("slice").write.partitionBy("slice")
+    by_slice.csv(f"{raw_root}/{MESSY_DATASET}", header=True, escape='"')
+    refine_all(spark, raw_root, refined_root, MESSY_DATASET, run_ts="2024-02-01T00:00:00+00:00")
+    stored = read_refined(spark, refined_root, MESSY_DATASET)
+    listed = list_files(spark, f"{raw_root}/{MESSY_DATASET}").select("path", "file_name")
+    in_file = F.regexp_extract("source_file", r"/slice=(\d+)/", 1).cast("bigint").alias("slice")
+    named = stored.join(listed, F.endswith("source_file", F.regexp_replace("path", "^file:/*", "/")))
+    return named.groupBy(in_file, "ingested_at_utc").agg(
+        F.count("*").alias("n_rows"), F.sum("c_custkey").cast("bigint").alias("keys")
+    )
+
+
+def text_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly hours of staffing facts whose days are text."""
+    facts = fixtures.staffing(spark, sf_dir)
+    return curated.total_nurse_hours(facts.withColumn("workdate", F.expr("cast(workdate as string)")))
+
+
 # --- landing ----------------------------------------------------------------
 # The customers fall into slices, one file each. By slice % 5: a file that leaves after the first
 # round, one that changes, one of another dataset, one without a rule, one that is added.
@@ -386,6 +464,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedupe_report": dedupe_report,
         "refine_csv_roundtrip": refine_csv_roundtrip,
         "refine_report": refine_report,
+        "united_headers": united_headers,
+        "refine_statuses": refine_statuses,
+        "refined_lineage": refined_lineage,
+        "text_days": text_days,
         "landed_rounds": landed_rounds,
         "landed_state": landed_state,
         "refreshed_months": refreshed_months,
@@ -566,6 +648,30 @@ def oracle_sql() -> dict[str, str]:
             FROM dirty_copies""",
             "dirty_copies",
         ),
+        "united_headers": with_ctes(
+            f"""SELECT c_custkey AS cust_key, c_acctbal AS balance, {_SEGMENT} AS seg_1,
+                       c_custkey % 5 AS seg_1_2,
+                       CASE WHEN c_custkey % 3 = 2 THEN c_custkey % 7 END AS "group"
+            FROM dirty""",
+            "dirty",
+        ),
+        "refine_statuses": with_ctes(
+            """SELECT dataset, status, n * counted AS rows_in, n * counted AS rows_out,
+                      true AS raised
+            FROM (SELECT count(*) AS n FROM dirty), (VALUES
+              ('nh_ownership', 'processed', 1::bigint), ('nh_penalties', 'failed', NULL),
+              ('nh_survey_dates', 'processed', 0), ('nh_survey_summary', 'skipped_missing', NULL),
+              ('swing_bed_snf', 'skipped_missing', NULL)) AS t(dataset, status, counted)""",
+            "dirty",
+        ),
+        "refined_lineage": with_ctes(
+            f"""SELECT c_custkey % {SLICES} AS slice,
+                       '2024-02-01T00:00:00+00:00' AS ingested_at_utc, count(*) AS n_rows,
+                       sum(c_custkey)::bigint AS keys
+            FROM dirty GROUP BY ALL""",
+            "dirty",
+        ),
+        "text_days": with_ctes(_MONTHLY_HOURS, "staffing"),
         "landed_rounds": with_ctes(
             f"""SELECT DISTINCT dataset, file_name, c_custkey,
                        c_acctbal + CASE WHEN is_second THEN 1 ELSE 0 END AS c_acctbal,

@@ -21,9 +21,11 @@ from carebase.session import shuffle_partitions_for
 from carebase.sources.inference import SchemaRegistry, as_types, stored_as_text, types_of
 from carebase.sources.raw import (
     NoColumns,
+    header_groups,
     is_missing_source,
     scan_csv,
-    total_bytes,
+    united,
+    with_file,
 )
 from carebase.sources.refined import check_write_mode, read_refined, write_refined
 
@@ -36,7 +38,7 @@ RESULT_SCHEMA = (
     "rows_in bigint, rows_out bigint, duplicates bigint, bad_cells bigint"
 )
 
-_COPIES, _BAD_CELLS = "__copies", "__bad_cells"
+_COPIES, _BAD_CELLS, _FILE = "__copies", "__bad_cells", "__file"
 
 
 class RefineError(RuntimeError):
@@ -84,6 +86,27 @@ def utc_now() -> str:
     return datetime.now(UTC).isoformat()
 
 
+def read_raw(
+    spark: SparkSession, paths: str | list[str], dataset: str, options: RefineOptions
+) -> tuple[DataFrame, int]:
+    """The rows of all files as text, with the file of each row as the last column; and their bytes.
+
+    Files of equal headers are read together, and the groups are united by normalised name.
+    """
+    reading = {
+        "header": options.header,
+        "sep": options.sep,
+        "multi_line": dataset not in options.single_line,
+    }
+    files = header_groups(spark, paths, **reading)
+    more = {"base_path": files.base_path} if files.base_path else {}
+    parts = [scan_csv(spark, group, infer=False, **reading, **more) for group in files.groups]
+    parts = [with_file(df, _FILE) for df in parts if df.columns]
+    if not parts:
+        raise NoColumns("no columns")
+    return united(parts, _FILE), files.total
+
+
 def refine(
     raw: DataFrame,
     run_ts: str,
@@ -91,17 +114,13 @@ def refine(
     *,
     ignore_lineage: bool = False,
     on_bad_value: str = "raise",
-    located: bool = False,
 ) -> DataFrame:
-    """Cleaned distinct rows of a file scan, plus two count columns for the report.
+    """Cleaned distinct rows of ``raw``, plus two count columns for the report.
 
-    The lineage columns are named together with the others, so they get a number when the
-    file has columns of their names. The run time is the same for all rows and is added
-    after the shuffle. With ``located`` the last column is the file of each row.
+    The last column of ``raw`` is the file of each row. The lineage columns are named together
+    with the others, so they get a number when the file has columns of their names. The run time
+    is the same for all rows and is added after the shuffle.
     """
-    if not located:
-        file_path = raw.metadataColumn("_metadata").getField("file_path")
-        raw = raw.select("*", file_path.alias(SOURCE_FILE))
     headers = [*raw.columns[:-1], SOURCE_FILE, INGESTED_AT]
     *names, ingested_at = normalize_names(headers)
     source_file = names[-1]
@@ -135,17 +154,7 @@ def refine_paths(
     """
     types = options.types.get(dataset)
     partitioning = options.partition.get(dataset)
-    total = total_bytes(spark, paths)
-    raw = scan_csv(
-        spark,
-        paths,
-        header=options.header,
-        sep=options.sep,
-        multi_line=dataset not in options.single_line,
-        infer=False,
-    )
-    if not raw.columns:
-        raise NoColumns("no columns")
+    raw, total = read_raw(spark, paths, dataset, options)
     registry, appending = SchemaRegistry(spark, refined_root, dataset), options.mode == "append"
     if types is None:
         stored, bits = stored_as_text(raw)
@@ -158,7 +167,6 @@ def refine_paths(
         types,
         ignore_lineage=options.ignore_lineage,
         on_bad_value=options.on_bad_value,
-        located=types is None,
     )
     if partitioning and not changed:
         df = dealt_out(with_partition(df, partitioning), partitioning)
@@ -209,13 +217,16 @@ def takes_changes(
         return False
     try:
         stored = read_refined(spark, refined_root, dataset).columns
-        raw = scan_csv(spark, paths, header=options.header, sep=options.sep, infer=False)
+        raw, _ = read_raw(spark, paths, dataset, options)
+    except NoColumns:
+        return False
     except AnalysisException as error:
         if is_missing_source(error):
             return False
         raise
-    names = normalize_names([*raw.columns, SOURCE_FILE, INGESTED_AT])
-    return names[-2] == SOURCE_FILE and stored == [*names, partitioning.column]
+    names = normalize_names([*raw.columns[:-1], SOURCE_FILE, INGESTED_AT])
+    same = sorted(stored) == sorted([*names, partitioning.column])
+    return same and names[-2] == SOURCE_FILE and stored[-1] == partitioning.column
 
 
 def refine_all(

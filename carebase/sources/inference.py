@@ -83,15 +83,14 @@ def merged(known: Mapping[str, int], seen: Mapping[str, int]) -> dict[str, int]:
 
 
 def stored_as_text(raw: DataFrame) -> tuple[DataFrame, dict[str, int]]:
-    """The one pass over the files: ``raw``, text columns only, stored with the file of each row
-    as the last column, under names of their own; and the kinds seen in each column."""
-    cells = [f"c{i}" for i in range(len(raw.columns))]
-    file_path = raw.metadataColumn("_metadata").getField("file_path")
-    text = raw.select("*", file_path.alias("file")).toDF(*cells, "file")
+    """The one pass over the files: ``raw``, text columns and the file of each row as the last one,
+    stored under names of their own; and the kinds seen in each column but the last."""
+    names = raw.columns[:-1]
+    cells = [f"c{i}" for i in range(len(names))]
     seen = Observation()
-    stored = written(text.observe(seen, *kinds_of(cells)), "raw_text")
+    stored = written(raw.toDF(*cells, "file").observe(seen, *kinds_of(cells)), "raw_text")
     counted = seen.get
-    bits = {name: counted[c] or 0 for name, c in zip(raw.columns, cells, strict=True)}
+    bits = {name: counted[c] or 0 for name, c in zip(names, cells, strict=True)}
     return stored, bits
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carebase.datasets import dataset_path
 from carebase.sources.raw import is_missing_source
@@ -27,26 +28,36 @@ def write_refined(
     mode: str = "overwrite",
     partition_by: str | None = None,
 ) -> str:
-    """Writes a dataset; appending columns of other types than the stored ones is refused."""
+    """Writes a dataset; see ``like_stored`` for what is appended."""
     path = dataset_path(root, dataset)
     mode = check_write_mode(mode)
     if mode == "append":
-        changed = _changed_types(df, path)
-        if changed:
-            raise ValueError(f"columns of other types than those stored: {', '.join(changed)}")
+        df = like_stored(df, path)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return path
 
 
-def _changed_types(df: DataFrame, path: str) -> list[str]:
+def like_stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` with the columns stored at ``path``, if there are any; those it lacks are null.
+
+    Columns of other types than the stored ones are refused, and so are new ones: readers take
+    the columns of a table from one of its files.
+    """
     try:
         stored = dict(df.sparkSession.read.parquet(path).dtypes)
     except AnalysisException as error:
         if is_missing_source(error):
-            return []
+            return df
         raise
-    return [name for name, kind in df.dtypes if stored.get(name, kind) != kind]
+    changed = [name for name, kind in df.dtypes if stored.get(name, kind) != kind]
+    if changed:
+        raise ValueError(f"columns of other types than those stored: {', '.join(changed)}")
+    new = [name for name in df.columns if name not in stored]
+    if new:
+        raise ValueError(f"columns that are not stored, overwrite to add them: {', '.join(new)}")
+    lacking = {name: F.lit(None).cast(kind) for name, kind in stored.items() if name not in df.columns}
+    return df.withColumns(lacking) if lacking else df
 
 
 def read_refined(spark: SparkSession, root: str, dataset: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 from carebase.plans.refine import RefineOptions, refine_all
 from carebase.sources.inference import SchemaRegistry, as_types, stored_as_text, type_of, types_of
+from carebase.sources.raw import with_file
 from carebase.sources.refined import read_refined
 
 OTHER = "nh_provider_info"
@@ -29,7 +30,7 @@ def test_types_and_values_are_those_of_spark(spark, tmp_path):
         writer.writerow([f"n{i}" for i in range(len(COLUMNS))])
         writer.writerows(zip(*COLUMNS, strict=True))
     theirs = spark.read.csv(path, header=True, inferSchema=True, escape='"')
-    stored, bits = stored_as_text(spark.read.csv(path, header=True, escape='"'))
+    stored, bits = stored_as_text(with_file(spark.read.csv(path, header=True, escape='"'), "file"))
     ours = as_types(stored, types_of(bits)).drop(stored.columns[-1])
     types = {name: (kind, cells) for (name, kind), cells in zip(theirs.dtypes, COLUMNS, strict=True)}
     assert {n: (k, types[n][1]) for n, k in ours.dtypes} == types

@@ -1,5 +1,7 @@
 """Raw CSV to Parquet, with the odd cases of real folders."""
 
+import gzip
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -8,7 +10,7 @@ from carebase.operators.cleaning import standardize_missing
 from carebase.operators.dedupe import dedupe_report, drop_duplicates
 from carebase.plans.refine import RefineError, RefineOptions, refine_all
 from carebase.session import shuffle_partitions_for
-from carebase.sources.raw import is_missing_source, scan_csv, total_bytes
+from carebase.sources.raw import header_groups, is_missing_source, scan_csv
 from carebase.sources.refined import read_refined, register_refined
 
 OTHER = "nh_provider_info"
@@ -239,7 +241,7 @@ def test_declared_single_lines_give_equal_results(spark, roots):
     lines = [f'{i % 900},"x, ""{i % 900}"""' for i in range(3000)]
     put(roots[0], OTHER, a="k,v\n" + "\n".join(lines) + "\n", b="k,v\n1,y\n")
     sizes = [path.stat().st_size for path in (roots[0] / OTHER).iterdir()]
-    assert total_bytes(spark, str(roots[0] / OTHER)) == sum(sizes)
+    assert header_groups(spark, str(roots[0] / OTHER)).total == sum(sizes)
     counts = []
     for single in (frozenset(), frozenset({OTHER})):
         row = run(spark, roots, OTHER, single_line=single)[OTHER]
@@ -257,18 +259,87 @@ def test_appending_other_types_fails_before_writing(spark, roots):
     assert [r.k for r in refined(spark, roots, OTHER).collect()] == [1]
 
 
-def test_files_of_different_headers_fail_their_dataset(spark, roots):
-    put(roots[0], OTHER, a="p,q\n1,2\n", b="q,p,r\n20,10,5\n")
-    row = run(spark, roots, OTHER, fail_on_error=False)[OTHER]
-    assert row.status == "failed"
+def test_files_of_different_headers_are_united_by_name(spark, roots):
+    put(roots[0], OTHER, a="p,q\n1,2\n", b="Q,p ,r\n20,10,5\n", c="")
+    put(roots[0], STAFFING, a="PROVNUM,MDScensus\n1,5\n", b="MDScensus,X,PROVNUM\n7,y,02\n")
+    rows = run(spark, roots, [OTHER, STAFFING])
+    assert (rows[OTHER].rows_in, rows[OTHER].rows_out) == (2, 2)
+    df = refined(spark, roots, OTHER)
+    assert df.columns == ["p", "q", "r", "source_file", "ingested_at_utc"]
+    assert sorted((r.p, r.q, r.r, r.source_file[-5:]) for r in df.collect()) == [
+        (1, 2, None, "a.csv"),
+        (10, 20, 5, "b.csv"),
+    ]
+    facts = refined(spark, roots, STAFFING)
+    assert dict(facts.dtypes)["mdscensus"] == "double"
+    assert sorted((r.provnum, r.mdscensus, r.x) for r in facts.collect()) == [("02", 7.0, "y"), ("1", 5.0, None)]
 
 
-def test_names_that_only_look_numbered_are_compared(spark, roots):
+def test_names_that_look_numbered_are_united_by_name(spark, roots):
     put(roots[0], OTHER, a="q0,q1\n1,2\n", b="q1,q0,r\n20,10,5\n")
-    assert run(spark, roots, OTHER, fail_on_error=False)[OTHER].status == "failed"
-    put(roots[0], OTHER, b="q0,q1\n3,4\n")
     run(spark, roots, OTHER)
-    assert sorted((r.q0, r.q1) for r in refined(spark, roots, OTHER).collect()) == [(1, 2), (3, 4)]
+    df = refined(spark, roots, OTHER)
+    assert sorted((r.q0, r.q1, r.r) for r in df.collect() if r.r) == [(10, 20, 5)]
+    assert sorted((r.q0, r.q1) for r in df.collect() if not r.r) == [(1, 2)]
+
+
+def test_blank_and_repeated_names_in_several_files(spark, roots):
+    put(roots[0], OTHER, a="a,,a\n1,2,3\n", b="a,,a\n4,5,6\n", c="z,a,,a\n0,7,8,9\n")
+    run(spark, roots, OTHER)
+    rows = refined(spark, roots, OTHER).collect()
+    # Spark numbers such names by position, so files of another layout have columns of their own.
+    assert sorted((r.a0, r.c1, r.a2) for r in rows if r.z is None) == [(1, 2, 3), (4, 5, 6)]
+    assert [(r.z, r.a1, r.c2, r.a3) for r in rows if r.z is not None] == [(0, 7, 8, 9)]
+
+
+def test_headers_are_read_as_records(spark, roots, monkeypatch):
+    folder = put(
+        roots[0],
+        "layouts",
+        a='"x\ny",b\n1,2\n',
+        b='"x\ny",b\r\n3,4\r\n',
+        c='\n\ufeff"x""y",b\n5,6\n',
+        d="b\n7\n",
+        e="\n\n",
+        f='6" pipe,b\n1,2\n3,4"\n',
+    )
+    with gzip.open(folder / "g.csv.gz", "wt") as file:
+        file.write("b\n8\n")
+    for size in (2**16, 3):
+        monkeypatch.setattr("carebase.sources.raw.HEAD_BYTES", size)
+        found = header_groups(spark, str(folder)).groups
+        names = [[path.rsplit("/", 1)[1][0] for path in group] for group in found]
+        assert sorted(names) == [["a", "b"], ["c"], ["d", "g"], ["f"]]
+    split = header_groups(spark, str(folder), multi_line=False).groups
+    assert len(split) == 4
+    assert header_groups(spark, str(folder / "a.csv")).groups == [str(folder / "a.csv")]
+    assert header_groups(spark, str(folder), header=False).groups == [str(folder)]
+    assert header_groups(spark, str(folder / "e.csv")).groups == [str(folder / "e.csv")]
+
+
+def test_equal_headers_stay_one_folder(spark, roots):
+    folder = put(roots[0], OTHER, **{f"f{i}": f"k,v\n{i},x\n" for i in range(40)})
+    assert header_groups(spark, str(folder)).groups == [str(folder)]
+
+
+def test_folders_that_name_a_column_with_several_headers(spark, roots):
+    put(roots[0], f"{OTHER}/year=1", a="k\n1\n")
+    put(roots[0], f"{OTHER}/year=2", b="j,k\n2,3\n")
+    run(spark, roots, OTHER)
+    rows = refined(spark, roots, OTHER).collect()
+    assert sorted((r.k, r.j or 0, int(r.year)) for r in rows) == [(1, 0, 1), (3, 2, 2)]
+
+
+def test_appended_columns_are_those_stored(spark, roots):
+    folder = put(roots[0], OTHER, a="k,v\n1,2\n")
+    run(spark, roots, OTHER)
+    (folder / "a.csv").write_text("k\n5\n")
+    run(spark, roots, OTHER, mode="append")
+    assert sorted((r.k, r.v or 0) for r in refined(spark, roots, OTHER).collect()) == [(1, 2), (5, 0)]
+    (folder / "a.csv").write_text("k,v,w\n6,7,8\n")
+    row = run(spark, roots, OTHER, mode="append", fail_on_error=False)[OTHER]
+    assert row.status == "failed" and "w" in row.reason
+    assert refined(spark, roots, OTHER).count() == 2
 
 
 def test_shuffle_partitions_follow_the_input(spark):
