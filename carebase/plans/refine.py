@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
@@ -27,7 +28,14 @@ from carebase.sources.raw import (
     united,
     with_file,
 )
-from carebase.sources.refined import check_write_mode, read_refined, write_refined
+from carebase.sources.refined import (
+    check_write_mode,
+    is_stored,
+    like_stored,
+    read_refined,
+    write_refined,
+)
+from carebase.sources.row_index import RowIndex
 
 logger = logging.getLogger(__name__)
 
@@ -38,7 +46,7 @@ RESULT_SCHEMA = (
     "rows_in bigint, rows_out bigint, duplicates bigint, bad_cells bigint"
 )
 
-_COPIES, _BAD_CELLS, _FILE = "__copies", "__bad_cells", "__file"
+_COPIES, _BAD_CELLS, _FILE, _KNOWN = "__copies", "__bad_cells", "__file", "__known"
 
 
 class RefineError(RuntimeError):
@@ -63,6 +71,8 @@ class RefineOptions:
     they are not.
     ``on_bad_value``: ``raise`` fails the dataset when a declared type does not fit,
     ``null`` drops the cell and counts it in ``bad_cells``.
+    ``skip_stored``: in append mode, rows that the dataset already holds are not added but count as
+    duplicates. The run time plays no part in that, nor does the source file with ``ignore_lineage``.
     ``partition``: how the refined rows of a dataset are laid out, for those that shall be. When
     files change, an incremental run then rewrites only the partitions that these files touch.
     """
@@ -76,6 +86,7 @@ class RefineOptions:
     types: Mapping[str, Mapping[str, str]] = field(default_factory=lambda: DECLARED_TYPES)
     single_line: frozenset[str] = frozenset()
     partition: Mapping[str, Partitioning] = field(default_factory=dict)
+    skip_stored: bool = False
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "mode", check_write_mode(self.mode))
@@ -138,6 +149,28 @@ def refine(
     )
 
 
+@contextmanager
+def _marked(
+    df: DataFrame, refined_root: str, dataset: str, options: RefineOptions
+) -> Iterator[DataFrame]:
+    """Refined rows with a column that tells those to be left out, because they are stored."""
+    spark, none = df.sparkSession, df.withColumn(_KNOWN, F.lit(False))
+    if not options.skip_stored or options.mode != "append":
+        yield none
+    elif not is_stored(spark, refined_root, dataset):
+        yield none
+    else:
+        *names, source_file, ingested_at, _, _ = df.columns
+        partitioning = options.partition.get(dataset)
+        apart = {ingested_at, partitioning.column if partitioning else ingested_at}
+        if options.ignore_lineage:
+            apart.add(source_file)
+        df = like_stored(df, dataset_path(refined_root, dataset), aside=(_COPIES, _BAD_CELLS))
+        columns = [n for n in df.columns if n not in apart and n not in (_COPIES, _BAD_CELLS)]
+        with RowIndex(spark, refined_root, dataset, columns).marked(df, _KNOWN) as marked:
+            yield marked.withColumn(_KNOWN, F.coalesce(_KNOWN, F.lit(False)))
+
+
 def refine_paths(
     spark: SparkSession,
     paths: str | list[str],
@@ -168,26 +201,30 @@ def refine_paths(
         ignore_lineage=options.ignore_lineage,
         on_bad_value=options.on_bad_value,
     )
-    if partitioning and not changed:
-        df = dealt_out(with_partition(df, partitioning), partitioning)
     # Both counts are observed behind the shuffle, in the stage that writes. Tasks of that
     # stage count once each, however often earlier stages are run again after a loss.
     counts = Observation()
-    df = df.observe(
-        counts,
-        F.sum(_COPIES).alias("rows_in"),
-        F.count(F.lit(1)).alias("rows_out"),
-        F.sum(_BAD_CELLS).alias("bad_cells"),
-    ).drop(_COPIES, _BAD_CELLS)
-    with shuffle_partitions_for(spark, total):
+    with (
+        shuffle_partitions_for(spark, total),
+        _marked(df, refined_root, dataset, options) as marked,
+    ):
+        if partitioning and not changed:
+            marked = dealt_out(with_partition(marked, partitioning), partitioning)
+        kept = marked.observe(
+            counts,
+            F.sum(_COPIES).alias("rows_in"),
+            F.count_if(~F.col(_KNOWN)).alias("rows_out"),
+            F.sum(_BAD_CELLS).alias("bad_cells"),
+        )
+        kept = kept.where(f"not {_KNOWN}").drop(_COPIES, _BAD_CELLS, _KNOWN)
         if changed:
             path = dataset_path(refined_root, dataset)
             files = spark.read.format("binaryFile").load(paths)
             files = files.select(F.col("_metadata.file_path").alias(SOURCE_FILE))
-            replace_files(spark, df, files, refined_root, dataset, partitioning)
+            replace_files(spark, kept, files, refined_root, dataset, partitioning)
         else:
             column = partitioning.column if partitioning else None
-            path = write_refined(df, refined_root, dataset, options.mode, column)
+            path = write_refined(kept, refined_root, dataset, options.mode, column)
     drift = registry.add(bits, replace=not appending) if types is None else []
     seen = {name: value or 0 for name, value in counts.get.items()}
     return _result(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -38,11 +38,11 @@ def write_refined(
     return path
 
 
-def like_stored(df: DataFrame, path: str) -> DataFrame:
+def like_stored(df: DataFrame, path: str, aside: Collection[str] = ()) -> DataFrame:
     """``df`` with the columns stored at ``path``, if there are any; those it lacks are null.
 
     Columns of other types than the stored ones are refused, and so are new ones: readers take
-    the columns of a table from one of its files.
+    the columns of a table from one of its files. Those in ``aside`` are not compared.
     """
     try:
         stored = dict(df.sparkSession.read.parquet(path).dtypes)
@@ -53,13 +53,24 @@ def like_stored(df: DataFrame, path: str) -> DataFrame:
     changed = [name for name, kind in df.dtypes if stored.get(name, kind) != kind]
     if changed:
         raise ValueError(f"columns of other types than those stored: {', '.join(changed)}")
-    new = [name for name in df.columns if name not in stored]
+    new = [name for name in df.columns if name not in stored and name not in aside]
     if new:
         raise ValueError(f"columns that are not stored, overwrite to add them: {', '.join(new)}")
     lacking = {name: F.lit(None).cast(kind) for name, kind in stored.items() if name not in df.columns}
     return df.withColumns(lacking) if lacking else df
 
 
+def is_stored(spark: SparkSession, root: str, dataset: str) -> bool:
+    """Whether a dataset is stored at all."""
+    try:
+        spark.read.parquet(dataset_path(root, dataset))
+    except AnalysisException as error:
+        if is_missing_source(error):
+            return False
+        raise
+    return True
+
+
 def read_refined(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     return spark.read.parquet(dataset_path(root, dataset))
 
