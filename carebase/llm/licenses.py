@@ -1,32 +1,44 @@
 """License scan: TF-IDF cosine to templates, and inheritance from the nearest directory above.
 
-1. Files that mention a cue word are cut into lines and sentences. Each passage with a cue, and the
-   whole file, is a unit. Units and templates become sparse vectors of term weights; the document
-   frequencies are counted over all units. The most similar template above ``SIMILAR`` is the
-   license of a file.
+1. Files are cut into lines and sentences. Each passage, and the whole file, is a unit. Units and
+   templates become sparse vectors of term weights; the document frequencies are counted over all
+   units. The most similar template above ``SIMILAR`` is the license of a file. Units that cannot
+   reach it are left out before their terms are joined: the weights of template terms are known, and
+   any other term of a unit weighs at least one, so each cosine has an upper bound.
 2. A file whose name or whole text is that of a license speaks for its directory. Files without a
    license of their own inherit from the nearest directory above that has one. Directories are
    joined, not files: each distinct directory meets its ancestors once, however many files it has.
 
+The files are read twice, for the frequencies and for the units. The terms of the templates reach all
+tasks as a constant, so templates are meant to be hundreds of words, not whole libraries.
+
 Nulls and edge cases: null and empty texts have no license of their own and may inherit. A null
 path has no directory and inherits nothing. Equal similarities are settled by the name of the
-license. Rows that share an id or a path are separate files. Other columns are ignored.
+license. Rows that share an id or a path are separate files. Other columns are ignored. Long texts
+are units as a whole like others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+from collections import Counter
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carebase.llm.text import pieces, words
+from carebase.llm.text import let, pieces, words
 from carebase.session import written
 
 SIMILAR = 0.6
 # From here on a whole text is a license, and not a file that has one.
 WHOLE = 0.85
-CUE = r"(?i)licen[sc]e|copyright|warrant(?:y|ies)|public domain|spdx"
 LICENSE_FILE = r"(?i)(?:^|/)(?:licen[sc]e|copying|unlicense)(?:\.[a-z]+)?$"
 PASSAGE = r"\n|(?<=[.!?])\s+"
+# Upper bounds are compared with a little less, for the order of sums.
+SLACK = 1 - 1e-6
+# Files of one directory meet its license in so many slices.
+SLICES = 16
 
 # Public license names, each with statements that grant or head it.
 TEMPLATES = (
@@ -64,15 +76,97 @@ def default_templates(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(license, text)")
 
 
-def _units(files: DataFrame) -> DataFrame:
-    """(row, unit, whole, terms): passages with a cue, and the whole text as unit -1."""
-    passages = F.filter(pieces(F.col("text"), PASSAGE), lambda p: p.rlike(CUE))
-    parts = files.where(F.col("text").isNotNull()).select(
-        "row", F.posexplode(F.concat(passages, F.array("text"))).alias("unit", "part"), F.size(passages).alias("n")
-    )
-    return parts.select(
-        "row", "unit", (F.col("unit") == F.col("n")).alias("whole"), words("part").alias("terms")
+def _parts(text: Column) -> Column:
+    """The passages of a text and then the text itself."""
+    return F.concat(pieces(text, PASSAGE), F.array(text))
+
+
+def _frequencies(files: DataFrame, templates: DataFrame) -> tuple[DataFrame, int]:
+    """(term, idf) over all units and templates, stored, and the number of both."""
+    known = files.where("text IS NOT NULL").select(F.explode(_parts(F.col("text"))).alias("part"))
+    # The empty word, which no text has, counts the units in the same pass.
+    listed = known.union(templates.where("text IS NOT NULL").select("text")).select(
+        F.explode(F.array_append(F.array_distinct(words(F.col("part"))), F.lit(""))).alias("term")
     )
+    counts = written(listed.groupBy("term").agg(F.count("*").alias("n")), "frequencies")
+    n = (counts.where("term = ''").first() or [None, 0])[1]
+    idf = (F.log((F.lit(n) + 1.0) / (F.col("n") + 1.0)) + 1.0).alias("idf")
+    return counts.where("term <> ''").select("term", idf), n
+
+
+def _may_match(idf: DataFrame, templates: DataFrame, similar: float) -> Callable[[Column], Column]:
+    """A test of a unit's words that holds for all units that are similar to a template.
+
+    With v the weights of a unit in template terms, its length is at least the root of the sum of
+    v * v and the number of its other terms. First the sum of v times the largest weight of each term
+    in any template is held against that, then the dot product with each template.
+    """
+    listed = templates.where("text IS NOT NULL").select("text", words(F.col("text")).alias("terms"))
+    known = listed.select(F.explode("terms").alias("term")).distinct().join(idf, "term")
+    weights = {row.term: row.idf for row in known.collect()}
+    vectors = []
+    for row in listed.select("terms").collect():
+        raw = {t: (1 + math.log(n)) * weights[t] for t, n in Counter(row.terms).items()}
+        norm = math.sqrt(sum(w * w for w in raw.values()))
+        vectors.append({t: w / norm for t, w in raw.items()})
+    if not weights:
+        return lambda terms: F.lit(False)
+
+    def constant(values: dict[str, float]) -> Column:
+        return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+    terms_of = F.array(*[F.lit(term) for term in weights])
+    idf_of = constant(weights)
+    largest = constant({t: max(v.get(t, 0.0) for v in vectors) for t in weights})
+    each = F.array(*[constant(vector) for vector in vectors if vector])
+
+    def summed(values: Column, of: Callable[[Column], Column]) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda total, v: total + of(v))
+
+    def test(terms: Column) -> Column:
+        spaced = F.concat(F.lit(" "), F.array_join(terms, "  "), F.lit(" "))
+
+        def repeats(joined: Column, term: Column) -> Column:
+            single = F.concat(F.lit(" "), term, F.lit(" "))
+            left = F.length(F.replace(joined, single, F.lit("")))
+            return (F.length(joined) - left) / F.length(single)
+
+        def weighed(shared: Column, distinct: Column) -> Column:
+            once = F.size(terms) == distinct
+            return let(
+                F.when(once, F.lit("")).otherwise(spaced),
+                lambda joined: F.transform(
+                    shared,
+                    lambda t: F.struct(
+                        t.alias("term"),
+                        (F.element_at(idf_of, t) * F.when(once, F.lit(1.0)).otherwise(1 + F.log(repeats(joined, t)))).alias("v"),
+                    ),
+                ),
+            )
+
+        def reaches(values: Column, others: Column) -> Column:
+            length = F.sqrt(summed(values, lambda x: x["v"] * x["v"]) + others)
+            return let(
+                length * (similar * SLACK),
+                lambda least: (summed(values, lambda x: x["v"] * F.element_at(largest, x["term"])) >= least)
+                & F.exists(
+                    each,
+                    lambda vector: summed(
+                        values, lambda x: x["v"] * F.coalesce(F.try_element_at(vector, x["term"]), F.lit(0.0))
+                    )
+                    >= least,
+                ),
+            )
+
+        def bounded(shared: Column) -> Column:
+            distinct = F.size(F.array_distinct(terms))
+            return let(distinct, lambda d: let(weighed(shared, d), lambda v: reaches(v, d - F.size(shared))))
+
+        return let(
+            F.array_intersect(terms, terms_of), lambda shared: (F.size(shared) > 0) & bounded(shared)
+        )
+
+    return test
 
 
 def _counted(units: DataFrame, *key: str) -> DataFrame:
@@ -89,21 +183,18 @@ def _weighted(counted: DataFrame, idf: DataFrame, *key: str) -> DataFrame:
     return raw.join(norms, list(key)).select(*key, "term", (F.col("weight") / F.col("norm")).alias("weight"))
 
 
-def own_licenses(files: DataFrame, templates: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def own_licenses(
+    units: DataFrame, idf: DataFrame, templates: DataFrame, similar: float = SIMILAR
+) -> DataFrame:
     """(row, license, similarity, is_license) of the files that are similar to a template.
 
-    ``files`` has row and text, ``is_license`` tells that the whole text is the license.
+    ``units`` has row, unit, whole and terms; ``is_license`` tells that the whole text is the license.
     """
-    units = written(_units(files), "units")
     terms = written(_counted(units, "row", "unit", "whole"), "terms")
     named = templates.where("text IS NOT NULL").select(
-        F.md5(F.concat_ws(":", "license", "text")).alias("template"), "license", words("text").alias("terms")
+        F.md5(F.concat_ws(":", "license", "text")).alias("template"), "license", words(F.col("text")).alias("terms")
     )
     template_terms = written(_counted(named, "license", "template"), "templates")
-    n = units.count() + templates.count()
-    frequency = terms.select("term").union(template_terms.select("term")).groupBy("term")
-    idf = frequency.agg((F.log((F.lit(n) + 1.0) / (F.count("*") + 1.0)) + 1.0).alias("idf"))
-    idf = written(idf, "idf")
     ours = _weighted(terms, idf, "row", "unit", "whole")
     theirs = _weighted(template_terms, idf, "license", "template")
     theirs = theirs.withColumnRenamed("weight", "other")
@@ -155,12 +246,33 @@ def scan_licenses(
     """
     spark = files.sparkSession
     templates = default_templates(spark) if templates is None else templates
-    cued = F.when(F.col("text").rlike(CUE), F.col("text"))
+    idf, _ = _frequencies(files, templates)
+    may_match = _may_match(idf, templates, similar)
+
+    def unit(part: Column, i: Column, n: Column) -> Column:
+        return let(
+            words(part),
+            lambda terms: F.when(
+                may_match(terms),
+                F.struct(i.alias("unit"), (i == n - 1).alias("whole"), terms.alias("terms")),
+            ),
+        )
+
+    units = let(
+        _parts(F.col("text")),
+        lambda parts: F.array_compact(F.transform(parts, lambda part, i: unit(part, i, F.size(parts)))),
+    )
     kept = written(
-        files.select(F.monotonically_increasing_id().alias("row"), "doc_id", "path", cued.alias("text")),
-        "cued",
+        files.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id",
+            "path",
+            F.when(F.col("text").isNotNull(), units).alias("units"),
+        ),
+        "units",
     )
-    own = written(own_licenses(kept, templates, similar), "own")
+    listed = kept.select("row", F.explode("units").alias("u")).select("row", "u.*")
+    own = written(own_licenses(listed, idf, templates, similar), "own")
     placed = kept.select("row", "doc_id", "path", _directory("path").alias("directory"))
     found = written(placed.join(own, "row", "left"), "found")
     licensed = found.where("license IS NOT NULL AND path IS NOT NULL").withColumn(
@@ -170,7 +282,9 @@ def scan_licenses(
     directories = found.where("license IS NULL AND path IS NOT NULL").select("directory").distinct()
     above = inherited_licenses(directories, licensed).withColumnRenamed("license", "above")
     origin = F.when(F.col("license").isNotNull(), "own").when(F.col("above").isNotNull(), "inherited")
-    joined = found.join(above, "directory", "left")
+    spread = above.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    sliced = found.withColumn("slice", F.pmod("row", F.lit(SLICES)).cast("int"))
+    joined = sliced.join(spread, ["directory", "slice"], "left")
     return joined.select(
         "doc_id",
         "path",
