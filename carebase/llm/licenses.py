@@ -2,9 +2,10 @@
 
 1. Files are cut into lines and sentences. Each passage, and the whole file, is a unit. Units and
    templates become sparse vectors of term weights; the document frequencies are counted over all
-   units. The most similar template above ``SIMILAR`` is the license of a file. Units that cannot
-   reach it are left out before their terms are joined: the weights of template terms are known, and
-   any other term of a unit weighs at least one, so each cosine has an upper bound.
+   passages and templates. The most similar template above ``SIMILAR`` is the license of a file. Units that cannot
+   reach it are left out before their terms are joined: the weights of template terms and of the
+   ``FREQUENT`` most frequent ones are known, and any other term of a unit weighs at least what the
+   next frequent one does, so each cosine has an upper bound.
 2. A file whose name or whole text is that of a license speaks for its directory. Files without a
    license of their own inherit from the nearest directory above that has one. Directories are
    joined, not files: each distinct directory meets its ancestors once, however many files it has.
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ LICENSE_FILE = r"(?i)(?:^|/)(?:licen[sc]e|copying|unlicense)(?:\.[a-z]+)?$"
 PASSAGE = r"\n|(?<=[.!?])\s+"
 # Upper bounds are compared with a little less, for the order of sums.
 SLACK = 1 - 1e-6
+FREQUENT = 256
 # Files of one directory meet its license in so many slices.
 SLICES = 16
 
@@ -82,9 +84,9 @@ def _parts(text: Column) -> Column:
 
 
 def _frequencies(files: DataFrame, templates: DataFrame) -> tuple[DataFrame, int]:
-    """(term, idf) over all units and templates, stored, and the number of both."""
-    known = files.where("text IS NOT NULL").select(F.explode(_parts(F.col("text"))).alias("part"))
-    # The empty word, which no text has, counts the units in the same pass.
+    """(term, idf) over all passages and templates, stored, and the number of both."""
+    known = files.select(F.explode(pieces(F.col("text"), PASSAGE)).alias("part"))
+    # The empty word, which no text has, counts the passages in the same pass.
     listed = known.union(templates.where("text IS NOT NULL").select("text")).select(
         F.explode(F.array_append(F.array_distinct(words(F.col("part"))), F.lit(""))).alias("term")
     )
@@ -97,28 +99,53 @@ def _frequencies(files: DataFrame, templates: DataFrame) -> tuple[DataFrame, int
 def _may_match(idf: DataFrame, templates: DataFrame, similar: float) -> Callable[[Column], Column]:
     """A test of a unit's words that holds for all units that are similar to a template.
 
-    With v the weights of a unit in template terms, its length is at least the root of the sum of
-    v * v and the number of its other terms. First the sum of v times the largest weight of each term
-    in any template is held against that, then the dot product with each template.
+    First a unit must have one of the telling terms: those that remain when the most common terms are
+    left out, as many as leave every template's other terms a length below ``similar``; without any
+    telling term no cosine can reach it. Then lengths are compared.
+    With v the weights of a unit in known terms, its length is at least the root of the sum of v * v and
+    of ``rest * rest`` for each other term, where ``rest`` is the idf of the most frequent of these. The sum
+    of v times the largest weight of each term in any template is held against that, with bounds of the
+    term frequencies; then the dot product with each template, with the frequencies themselves.
     """
     listed = templates.where("text IS NOT NULL").select("text", words(F.col("text")).alias("terms"))
     known = listed.select(F.explode("terms").alias("term")).distinct().join(idf, "term")
-    weights = {row.term: row.idf for row in known.collect()}
+    of_templates = known.collect()
+    ordered = idf.orderBy("idf", "term").limit(FREQUENT + 1).collect()
+    rest = ordered[FREQUENT].idf if len(ordered) > FREQUENT else 1.0
+    weights = {row.term: row.idf for row in of_templates + ordered[:FREQUENT]}
     vectors = []
     for row in listed.select("terms").collect():
         raw = {t: (1 + math.log(n)) * weights[t] for t, n in Counter(row.terms).items()}
         norm = math.sqrt(sum(w * w for w in raw.values()))
         vectors.append({t: w / norm for t, w in raw.items()})
-    if not weights:
+    if not of_templates:
         return lambda terms: F.lit(False)
 
-    def constant(values: dict[str, float]) -> Column:
-        return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-
-    terms_of = F.array(*[F.lit(term) for term in weights])
-    idf_of = constant(weights)
-    largest = constant({t: max(v.get(t, 0.0) for v in vectors) for t in weights})
-    each = F.array(*[constant(vector) for vector in vectors if vector])
+    common, lengths = set(), [0.0] * len(vectors)
+    for term in sorted({row.term for row in of_templates}, key=lambda t: (weights[t], t)):
+        grown = [x + v.get(term, 0.0) ** 2 for x, v in zip(lengths, vectors, strict=True)]
+        if max(grown) >= (similar * SLACK) ** 2:
+            break
+        lengths = grown
+        common.add(term)
+
+    # Words have no quotes or backslashes; one text per constant is quicker than many calls.
+    def array(values: Iterable[str]) -> str:
+        return f"array({', '.join(values)})"
+
+    def mapped(values: Mapping[str, str]) -> str:
+        return f"map({', '.join(f"'{term}', {value}" for term, value in values.items())})"
+
+    telling = F.expr(array(sorted(f"'{row.term}'" for row in of_templates if row.term not in common)))
+    terms_of = F.expr(array(f"'{term}'" for term in weights))
+    idf_of = F.expr(mapped({term: f"{w!r}D" for term, w in weights.items()}))
+    # What a term adds to a dot product at most, and to the square of the length at least.
+    most = {t: max(v.get(t, 0.0) for v in vectors) for t in weights}
+    bound = {
+        t: f"named_struct('dot', {w * most[t]!r}D, 'square', {w * w!r}D)" for t, w in weights.items()
+    }
+    bounds = F.expr(mapped(bound))
+    each = F.expr(array(mapped({t: f"{w!r}D" for t, w in v.items()}) for v in vectors if v))
 
     def summed(values: Column, of: Callable[[Column], Column]) -> Column:
         return F.aggregate(values, F.lit(0.0), lambda total, v: total + of(v))
@@ -145,11 +172,10 @@ def _may_match(idf: DataFrame, templates: DataFrame, similar: float) -> Callable
             )
 
         def reaches(values: Column, others: Column) -> Column:
-            length = F.sqrt(summed(values, lambda x: x["v"] * x["v"]) + others)
+            length = F.sqrt(summed(values, lambda x: x["v"] * x["v"]) + others * (rest * rest))
             return let(
                 length * (similar * SLACK),
-                lambda least: (summed(values, lambda x: x["v"] * F.element_at(largest, x["term"])) >= least)
-                & F.exists(
+                lambda least: F.exists(
                     each,
                     lambda vector: summed(
                         values, lambda x: x["v"] * F.coalesce(F.try_element_at(vector, x["term"]), F.lit(0.0))
@@ -158,13 +184,27 @@ def _may_match(idf: DataFrame, templates: DataFrame, similar: float) -> Callable
                 ),
             )
 
+        def plausible(shared: Column, distinct: Column) -> Column:
+            start = F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("square"))
+            total = F.aggregate(
+                F.transform(shared, lambda t: F.element_at(bounds, t)),
+                start,
+                lambda a, x: F.struct((a["dot"] + x["dot"]).alias("dot"), (a["square"] + x["square"]).alias("square")),
+            )
+            most_often = 1 + F.log(F.size(terms) - distinct + 1)
+            others = (distinct - F.size(shared)) * (rest * rest)
+            return let(
+                total, lambda x: x["dot"] * most_often >= F.sqrt(x["square"] + others) * (similar * SLACK)
+            )
+
         def bounded(shared: Column) -> Column:
-            distinct = F.size(F.array_distinct(terms))
-            return let(distinct, lambda d: let(weighed(shared, d), lambda v: reaches(v, d - F.size(shared))))
+            return let(
+                F.size(F.array_distinct(terms)),
+                lambda d: plausible(shared, d)
+                & let(weighed(shared, d), lambda v: reaches(v, d - F.size(shared))),
+            )
 
-        return let(
-            F.array_intersect(terms, terms_of), lambda shared: (F.size(shared) > 0) & bounded(shared)
-        )
+        return F.arrays_overlap(terms, telling) & let(F.array_intersect(terms, terms_of), bounded)
 
     return test
 

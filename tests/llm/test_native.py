@@ -1,5 +1,8 @@
 """Operators on DataFrame functions, against brute force and planted cases."""
 
+import collections
+import math
+import random
 import re
 
 import pytest
@@ -300,3 +303,62 @@ def test_licenses_are_found_and_inherited(spark):
     assert licenses.scan_licenses(frame.limit(0)).count() == 0
 
 
+def brute_force_licenses(texts, similar=licenses.SIMILAR):
+    """The most similar template of each text over all of its passages and the whole, in plain Python."""
+
+    def terms(text):
+        small = re.sub("[A-Z]", lambda m: m.group().lower(), text)
+        return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", small) if w]
+
+    def passages(text):
+        return [p for p in re.split(r"\n|(?<=[.!?])\s+", text) if p]
+
+    counted = [p for text in texts if text is not None for p in passages(text)]
+    counted += [text for _, text in licenses.TEMPLATES]
+    seen = collections.Counter(t for p in counted for t in set(terms(p)))
+
+    def vector(text):
+        tf = collections.Counter(terms(text))
+        idf = {t: math.log((len(counted) + 1) / (seen.get(t, 0) + 1)) + 1 for t in tf}
+        raw = {t: (1 + math.log(n)) * idf[t] for t, n in tf.items()}
+        norm = math.sqrt(sum(w * w for w in raw.values()))
+        return {t: w / norm for t, w in raw.items()}
+
+    vectors = [(name, vector(text)) for name, text in licenses.TEMPLATES]
+    found = []
+    for text in texts:
+        ranked = []
+        for unit in [*passages(text), text] if text is not None else []:
+            mine = vector(unit)
+            for name, theirs in vectors:
+                cosine = round(sum(w * theirs.get(t, 0.0) for t, w in mine.items()), 9)
+                if cosine >= similar:
+                    ranked.append((-cosine, name))
+        found.append(min(ranked)[1] if ranked else None)
+    return found
+
+
+def test_licenses_equal_brute_force(spark):
+    random.seed(5)
+    vocabulary = [w for _, text in licenses.TEMPLATES for w in text.split()] + [f"w{i}" for i in range(400)]
+    texts = [None, "", ".", "x " * 30000, "License " * 3000, "all rights reserved. " * 40]
+    for _, text in licenses.TEMPLATES:
+        ws = text.split()
+        texts += [text, text.upper(), " ".join(ws[: len(ws) * 2 // 3]), " ".join(ws + random.choices(vocabulary, k=4))]
+        texts += ["\n".join([" ".join(random.choices(vocabulary, k=9)), " ".join(random.sample(ws, len(ws)))])]
+    texts += [" ".join(random.choices(vocabulary, k=random.randint(1, 60))) for _ in range(150)]
+    frame = spark.createDataFrame(
+        [(i, f"d{i}/a.txt", text) for i, text in enumerate(texts)], "doc_id int, path string, text string"
+    )
+    ours = {r.doc_id: r.license for r in licenses.scan_licenses(frame).collect()}
+    assert [ours[i] for i in range(len(texts))] == brute_force_licenses(texts)
+
+
+def test_every_template_is_found_and_inherited(spark):
+    rows = []
+    for i, (_, text) in enumerate(licenses.TEMPLATES):
+        rows += [(i, f"d{i}/LICENSE", text), (1000 + i, f"d{i}/src/a.py", "x = 1")]
+    frame = spark.createDataFrame(rows, "doc_id int, path string, text string")
+    got = {r.doc_id: (r.license, r.origin) for r in licenses.scan_licenses(frame).collect()}
+    for i, (name, _) in enumerate(licenses.TEMPLATES):
+        assert (got[i], got[1000 + i]) == ((name, "own"), (name, "inherited"))
