@@ -27,10 +27,10 @@ from carebase.operators.cleaning import standardize_missing
 from carebase.operators.state import STATE_SCHEMA, read_state, record_state
 from carebase.plans import curated
 from carebase.plans.ingest import ingest
-from carebase.plans.months import WORK_MONTH
+from carebase.plans.months import WORK_MONTH, replace_files, with_partition
 from carebase.plans.refine import RefineError, RefineOptions, refine_all, results_table
 from carebase.plans.view_store import ViewStore, store_curated_views
-from carebase.plans.views import curated_views, register_views, write_views
+from carebase.plans.views import curated_views, refresh_views, register_views, write_views
 from carebase.session import scratch_path
 from carebase.sources.listing import list_files
 from carebase.sources.refined import read_refined, write_refined
@@ -424,6 +424,24 @@ def stored_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_views({name: other.table(name) for name in VIEW_VALUES})
 
 
+def refreshed_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five views after a second run has read only the months of one changed file."""
+    root, target = scratch_path(spark, "refined"), scratch_path(spark, "curated")
+    file_name = F.expr("concat('half=', cast(provnum as int) % 2)")
+    facts = fixtures.staffing(spark, sf_dir).withColumn("source_file", file_name)
+    write_refined(with_partition(facts, WORK_MONTH), root, STAFFING, partition_by=WORK_MONTH.column)
+    write_refined(fixtures.claims(spark, sf_dir), root, CLAIMS)
+    ties = {"load_tie_break": ("provnum", "state"), "claims_tie_break": ("row_id",)}
+    refresh_views(spark, root, target, **ties)
+    # A version of one file that is corrected from some day on, and has lost the days before that.
+    census = F.expr("mdscensus + 1")
+    later = facts.where(f"source_file = 'half=1' and workdate >= {KEPT_FROM}")
+    changed = later.withColumn("mdscensus", census)
+    replace_files(spark, changed, changed.select("source_file"), root, STAFFING, WORK_MONTH)
+    refresh = refresh_views(spark, root, target, **ties)
+    return _all_views({name: spark.read.parquet(path) for name, path in refresh.paths.items()})
+
+
 def registered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refined tables written out, the five views registered over them, one read with SQL."""
     root = scratch_path(spark, "refined")
@@ -449,6 +467,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_claims": latest_claims,
         "written_views": written_views,
         "stored_views": stored_views,
+        "refreshed_views": refreshed_views,
         "registered_view": registered_view,
         "route_files": route_files,
         "unmapped_files": unmapped_files,
@@ -592,6 +611,14 @@ def oracle_sql() -> dict[str, str]:
         "latest_claims": with_ctes(_LATEST, "claims"),
         "written_views": with_ctes(_ALL_VIEWS, "staffing", "claims"),
         "stored_views": with_ctes(_ALL_VIEWS, "staffing", "claims"),
+        "refreshed_views": with_ctes(
+            f"""WITH renewed AS (
+                SELECT * REPLACE ((mdscensus + provnum::int % 2)::int AS mdscensus)
+                FROM staffing WHERE provnum::int % 2 = 0 OR workdate >= {KEPT_FROM})
+            {_ALL_VIEWS.replace("FROM staffing", "FROM renewed")}""",
+            "staffing",
+            "claims",
+        ),
         "registered_view": with_ctes(_LOAD, "staffing"),
         "route_files": with_ctes(
             f"SELECT file_id, file_name, dataset, target_path, is_unmapped FROM ({_ROUTED})",

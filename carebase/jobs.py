@@ -20,7 +20,7 @@ from carebase.plans.ingest import ingest
 from carebase.plans.months import WORK_MONTH
 from carebase.plans.refine import RefineOptions, refine_all
 from carebase.plans.view_store import store_curated_views
-from carebase.plans.views import write_views
+from carebase.plans.views import refresh_views, write_views
 from carebase.session import session_builder
 from carebase.sources.listing import list_files
 from carebase.sources.refined import WRITE_MODES, read_refined
@@ -58,6 +58,7 @@ def _parser() -> argparse.ArgumentParser:
     views.add_argument("--refined", required=True)
     views.add_argument("--curated", required=True)
     views.add_argument("--on-bad-value", choices=("raise", "null"), default="raise")
+    views.add_argument("--refresh", action="store_true", help="read changed months only")
 
     register = jobs.add_parser("register")
     register.add_argument("--refined", required=True)
@@ -72,6 +73,11 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         store = store_curated_views(spark, args.store, args.refined, ("provnum", "state"))
         print("\n".join(store.definitions()))
         return
+    if args.job == "views" and args.refresh:
+        ties = {"load_tie_break": ("provnum", "state"), "on_bad_value": args.on_bad_value}
+        refresh = refresh_views(spark, args.refined, args.curated, **ties)
+        print("\n".join(refresh.paths.values()))
+        return
     if args.job == "views":
         paths = write_views(
             read_refined(spark, args.refined, STAFFING),

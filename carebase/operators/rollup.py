@@ -7,6 +7,8 @@ columns of the scan.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,8 +41,10 @@ def _aliased(expressions: dict[str, str]) -> list:
     return [F.expr(f"{sql} as {name}") for name, sql in expressions.items()]
 
 
-def facility_months(staffing: DataFrame, on_bad_value: str = "raise") -> DataFrame:
-    """Sums per facility, state and month.
+def facility_months(
+    staffing: DataFrame, on_bad_value: str = "raise", by: Sequence[str] = ()
+) -> DataFrame:
+    """Sums per facility, state and month, and per value of further columns ``by``.
 
     ``strict_hours`` leaves out rows with any null hour column; the other hour sums count
     nulls as zero.
@@ -52,12 +56,22 @@ def facility_months(staffing: DataFrame, on_bad_value: str = "raise") -> DataFra
     whole_number = isinstance(staffing.schema["workdate"].dataType, T.IntegralType)
     if not whole_number or on_bad_value != "raise":
         month = F.expr(f"{month_start('workdate', on_bad_value)} as month_start")
-        return staffing.groupBy(*FACILITY, month).agg(*_aliased(_MONTH_SUMS))
+        return staffing.groupBy(*FACILITY, month, *by).agg(*_aliased(_MONTH_SUMS))
     days = {"first_day": "min(workdate)", "last_day": "max(workdate)"}
-    grouped = staffing.groupBy(*FACILITY, F.expr("workdate div 100 as month_number"))
-    return grouped.agg(*_aliased(days | _MONTH_SUMS)).selectExpr(
-        *FACILITY, f"{month_start_between('first_day', 'last_day')} as month_start", *_MONTH_SUMS
-    )
+    grouped = staffing.groupBy(*FACILITY, *by, F.expr("workdate div 100 as month_number"))
+    month = f"{month_start_between('first_day', 'last_day')} as month_start"
+    return grouped.agg(*_aliased(days | _MONTH_SUMS)).selectExpr(*FACILITY, month, *by, *_MONTH_SUMS)
+
+
+def merged_months(months: DataFrame) -> DataFrame:
+    """One row per facility, state and month of sums that were taken over parts of the facts."""
+    sums = {name: f"sum({name})" for name in _MONTH_SUMS}
+    return months.groupBy(*FACILITY, "month_start").agg(*_aliased(sums))
+
+
+def month_recipe() -> str:
+    """What the monthly sums are made of; stored sums of another recipe are of no use."""
+    return "; ".join([*FACILITY, *(f"{name} = {sql}" for name, sql in _MONTH_SUMS.items())])
 
 
 def facility_totals(staffing: DataFrame) -> DataFrame:

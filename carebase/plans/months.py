@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carebase.datasets import dataset_path
@@ -24,6 +25,16 @@ class Partitioning:
 WORK_MONTH = Partitioning("work_month", "workdate div 100")
 
 
+def in_partitions(column: str, values: Sequence[int | None]) -> Column:
+    """A filter on the partition column, which Spark applies to folders; null is one of the values."""
+    condition = F.col(quoted(column)).isin([value for value in values if value is not None])
+    return condition | F.col(quoted(column)).isNull() if None in values else condition
+
+
+def partition_folder(column: str, value: int | None) -> str:
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
 def with_partition(df: DataFrame, partitioning: Partitioning) -> DataFrame:
     """``df`` with the partition column last, as Spark reads it back."""
     value = F.expr(f"cast({partitioning.expression} as int)")
@@ -68,10 +79,7 @@ def replace_files(
     months = [row[0] for row in rows.select(column).union(before).distinct().collect()]
     if not months:
         return []
-    in_months = F.col(quoted(column)).isin([m for m in months if m is not None])
-    if None in months:
-        in_months = in_months | F.col(quoted(column)).isNull()
-    kept = stored.where(in_months).join(named, SOURCE_FILE, "left_anti")
+    kept = stored.where(in_partitions(column, months)).join(named, SOURCE_FILE, "left_anti")
     renewed = written(kept.select(*stored.columns).unionByName(rows.select(*stored.columns)), "months")
     writer = dealt_out(renewed, partitioning).write.mode("overwrite").partitionBy(column)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
@@ -84,6 +92,5 @@ def _drop_partitions(spark: SparkSession, path: str, column: str, months: list[i
     """Deletes partitions that have lost their last row."""
     jvm = spark._jvm
     for month in months:
-        value = "__HIVE_DEFAULT_PARTITION__" if month is None else month
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_folder(column, month)}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

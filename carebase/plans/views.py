@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from carebase.datasets import CLAIMS, STAFFING, dataset_path
 from carebase.operators.rollup import facility_months, facility_totals_from_months
 from carebase.plans import curated
+from carebase.plans.monthly_sums import MonthlySums
 from carebase.session import written
 from carebase.sources.refined import read_refined
 
@@ -84,6 +86,46 @@ def write_views(
     differs from the lazy views.
     """
     months = written(facility_months(staffing), "facility_months")
+    return _write_from_months(months, claims, root, load_tie_break, claims_tie_break, on_bad_value)
+
+
+@dataclass(frozen=True)
+class Refresh:
+    """``paths`` of the views; ``months`` whose facts were read, null for days without one."""
+
+    paths: dict[str, str]
+    months: list[int | None]
+
+
+def refresh_views(
+    spark: SparkSession,
+    refined_root: str,
+    root: str,
+    load_tie_break: Sequence[str] = (),
+    claims_tie_break: Sequence[str] = (),
+    on_bad_value: str = "raise",
+) -> Refresh:
+    """Writes all five views like ``write_views``, but reads the facts of changed months only.
+
+    The refined staffing table must be stored by month. Its monthly sums are kept under
+    ``<root>/_facility_months``; the first refresh takes them over all months.
+    """
+    path = dataset_path(root, "_facility_months")
+    sums = MonthlySums(spark, path, dataset_path(refined_root, STAFFING))
+    touched = sums.refresh()
+    claims = read_refined(spark, refined_root, CLAIMS)
+    ties = (load_tie_break, claims_tie_break)
+    return Refresh(_write_from_months(sums.read(), claims, root, *ties, on_bad_value), touched)
+
+
+def _write_from_months(
+    months: DataFrame,
+    claims: DataFrame,
+    root: str,
+    load_tie_break: Sequence[str],
+    claims_tie_break: Sequence[str],
+    on_bad_value: str,
+) -> dict[str, str]:
     totals = written(facility_totals_from_months(months), "facility_totals")
     views = {
         "total_nurse_hours": curated.total_nurse_hours_from_months(months),

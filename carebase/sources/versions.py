@@ -96,8 +96,9 @@ class VersionLog:
     def delete_data(self, folder: str) -> None:
         self._files.delete(self._path(f"{self.path}/{folder}"), True)
 
-    def data_folders(self) -> list[str]:
-        if not self._files.exists(self._path(self.path)):
+    def data_folders(self, under: str = "") -> list[str]:
+        path = self._path(f"{self.path}/{under}".rstrip("/"))
+        if not self._files.exists(path):
             return []
-        names = [s.getPath().getName() for s in self._files.listStatus(self._path(self.path))]
+        names = [status.getPath().getName() for status in self._files.listStatus(path)]
         return sorted(name for name in names if name != "_versions")
