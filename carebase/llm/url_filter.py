@@ -28,7 +28,6 @@ GRAMS = (3, 4, 5)
 EPOCHS = 150
 RATE, BIAS_RATE = 0.5, 2.0
 DECAY = 0.01
-COMMON = 0.1
 # The fit compares all pairs of labelled rows, so their number is bounded.
 MAX_LABELLED = 1000
 
@@ -135,11 +134,7 @@ def fit_weights(labelled: DataFrame, epochs: int = EPOCHS) -> DataFrame:
         F.xxhash64("url").alias("h"),
     )
     bounded = written(rows.orderBy("h", "y").limit(MAX_LABELLED), "labelled")
-    # N-grams of most urls, such as those of a domain, tell nothing and would slow the fit.
-    uses = bounded.select(F.explode("all").alias("gram")).groupBy("gram").count()
-    common = uses.where(F.col("count") > COMMON * bounded.select(F.count("*")).scalar())
-    common = common.agg(F.collect_set("gram").alias("grams")).scalar()
-    rows = bounded.select("h", "y", F.array_except("all", common).alias("grams")).where("size(grams) > 0")
+    rows = bounded.select("h", "y", F.col("all").alias("grams"))
     together = rows.agg(F.array_sort(F.collect_list(F.struct("h", "y", "grams"))).alias("rows"))
     # Rows are scaled to length one, so the n-grams that two rows share become a cosine.
     norm = "sqrt(cast(size(a.grams) AS double) * size(b.grams))"
