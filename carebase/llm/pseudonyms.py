@@ -12,8 +12,12 @@ result is allowed (cycle walking), which is a permutation of the allowed values.
 
 Nulls and edge cases: a null text stays null with no values found, an empty one stays empty.
 Runs of more than 19 digits, impossible dates and octets above 255 are not personal values.
-Numbers without a valid check digit are permuted too, and stay without one. Rows that share an id
-are separate documents. Other columns are kept as they are.
+Numbers without a valid check digit are no values to be hidden and stay as they are. Names of
+addresses are rewritten whole, however long; very long texts are rewritten in the same scan. Rows
+that share an id are separate documents. Other columns are kept as they are, but for ``n_values`` and
+``n_changed`` of the input, which the counts replace.
+
+Whoever has the key can undo the pseudonyms, so there is no default: the caller names a secret one.
 """
 
 from __future__ import annotations
@@ -24,7 +28,8 @@ from pyspark.sql import functions as F
 from carebase.llm.text import let
 
 ROUNDS = 8
-KEY = "carebase"
+# For the registered query and its check only, which need the same rows in every run.
+QUERY_KEY = "carebase"
 DIGITS, LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 # Longer values are permuted in parts, so that halves stay exact as whole numbers and doubles.
 PART = {DIGITS: 18, LETTERS: 22}
@@ -35,7 +40,8 @@ DAY_MODULI = (271, 270)  # their product is the smallest above the number of day
 # The formats, tried in this order at every place.
 _START, _END = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
 FORMATS = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    # From the first character of the name on, however long it is; no place is tried twice.
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "iso_date": _START + r"(?:19|20)\d\d-\d\d-\d\d" + _END,
     "day_first": _START + r"\d\d\.\d\d\.(?:19|20)\d\d" + _END,
     "month_first": _START + r"\d\d/\d\d/(?:19|20)\d\d" + _END,
@@ -173,20 +179,21 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def _card_or_number(match: Column, tweak: Column) -> Column:
-    """All digits but the last are permuted. The last one keeps its distance from the check
-    digit that they ask for, so valid numbers stay valid and others do not become valid."""
+    """All digits but the last are permuted, and the last one is the check digit they ask for.
+    A number without a valid check digit is left as it is."""
 
     def fresh(digits: Column) -> Column:
         n = F.length(digits)
         body, last = F.substring(digits, F.lit(1), n - 1), F.substring(digits, n, F.lit(1))
 
         def checked(new: Column) -> Column:
-            moved = (luhn_sum(body) + last.cast("int") - luhn_sum(new)) % 10
-            return F.concat(new, ((moved + 10) % 10).cast("string"))
+            return F.concat(new, F.pmod(-luhn_sum(new), F.lit(10)).cast("string"))
 
-        return let(permuted(body, DIGITS, tweak), checked)
+        valid = (luhn_sum(body) + last.cast("int")) % 10 == 0
+        rewritten = _put_back(match, let(permuted(body, DIGITS, tweak), checked), "[0-9]")
+        return F.when(valid, rewritten).otherwise(match)
 
-    return _put_back(match, let(_digits(match), fresh), "[0-9]")
+    return let(_digits(match), fresh)
 
 
 def _mod97(text: Column) -> Column:
@@ -269,7 +276,7 @@ def _phone(match: Column, tweak: Column) -> Column:
     return F.concat(country, _with_digits(rest, F.concat_ws(":", tweak, country)))
 
 
-def pseudonym(match: Column, key: str = KEY) -> Column:
+def pseudonym(match: Column, key: str) -> Column:
     """The pseudonym of one match of ``ANY``; the match itself if it isn't valid."""
     plain = F.lit(key)
     rewrite = {
@@ -293,7 +300,7 @@ def pseudonym(match: Column, key: str = KEY) -> Column:
     return result.otherwise(match)
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with a rewritten text and two more columns, n_values and n_changed: how many
     values have one of the formats, and how many of these are valid and were rewritten."""
     text = docs["text"]
@@ -301,22 +308,27 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     values = F.when(has_any, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     gaps = F.when(has_any, F.split(text, ANY, -1))
     rest = [c for c in docs.columns if c not in ("n_values", "n_changed")]
-    found = docs.select(*rest, values.alias("_values"), gaps.alias("_gaps"))
-    fresh = found.withColumn("_fresh", F.transform("_values", lambda m: pseudonym(m, key)))
+    v, g, f = (_unused(name, docs.columns) for name in ("values", "gaps", "fresh"))
+    found = docs.select(*rest, values.alias(v), gaps.alias(g))
+    fresh = found.withColumn(f, F.transform(v, lambda m: pseudonym(m, key)))
     joined = F.array_join(
-        F.zip_with(
-            "_gaps", F.concat("_fresh", F.array(F.lit(""))), lambda gap, new: F.concat(gap, new)
-        ),
-        "",
+        F.zip_with(g, F.concat(f, F.array(F.lit(""))), lambda gap, new: F.concat(gap, new)), ""
     )
-    changed = F.filter(F.zip_with("_values", "_fresh", lambda a, b: a != b), lambda x: x)
+    changed = F.filter(F.zip_with(v, f, lambda a, b: a != b), lambda x: x)
     return fresh.select(
         *(F.coalesce(joined, "text").alias("text") if c == "text" else c for c in rest),
-        F.coalesce(F.size("_values"), F.lit(0)).cast("long").alias("n_values"),
+        F.coalesce(F.size(v), F.lit(0)).cast("long").alias("n_values"),
         F.coalesce(F.size(changed), F.lit(0)).cast("long").alias("n_changed"),
     )
 
 
+def _unused(name: str, columns: list[str]) -> str:
+    """``name`` with underscores in front of it until no column is called so."""
+    while name.lower() in {column.lower() for column in columns}:
+        name = f"_{name}"
+    return name
+
+
 def op6_pseudonyms(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pseudonymise(docs)
+    return pseudonymise(docs, QUERY_KEY)
