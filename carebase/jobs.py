@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     reading.add_argument("--fail-on-missing", action="store_true")
     reading.add_argument("--keep-going", action="store_true", help="succeed if datasets failed")
     reading.add_argument("--ignore-lineage", action="store_true")
+    reading.add_argument("--at-once", type=int, default=4, help="datasets refined at a time")
     reading.add_argument("--skip-stored", action="store_true", help="append no row twice")
     reading.add_argument("--by-month", action="store_true", help="staffing in months")
     reading.add_argument("--single-line", default="", help="comma list of datasets to be split")
@@ -95,6 +96,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         skip_missing=not args.fail_on_missing,
         ignore_lineage=args.ignore_lineage,
         skip_stored=args.skip_stored,
+        at_once=args.at_once,
         on_bad_value=args.on_bad_value,
         partition={STAFFING: WORK_MONTH} if args.by_month else {},
         single_line=frozenset(pick_datasets(args.single_line)) if args.single_line else frozenset(),

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,7 +19,7 @@ from carebase.functions.names import normalize_names
 from carebase.operators.cleaning import INGESTED_AT, SOURCE_FILE, clean
 from carebase.operators.dedupe import count_copies
 from carebase.plans.months import Partitioning, dealt_out, replace_files, with_partition
-from carebase.session import shuffle_partitions_for
+from carebase.session import shuffle_partitions_for, side_by_side
 from carebase.sources.inference import SchemaRegistry, as_types, stored_as_text, types_of
 from carebase.sources.raw import (
     NoColumns,
@@ -75,6 +76,7 @@ class RefineOptions:
     duplicates. The run time plays no part in that, nor does the source file with ``ignore_lineage``.
     ``partition``: how the refined rows of a dataset are laid out, for those that shall be. When
     files change, an incremental run then rewrites only the partitions that these files touch.
+    ``at_once``: how many datasets are refined at a time. Small ones leave most of a cluster idle.
     """
 
     header: bool = True
@@ -87,8 +89,11 @@ class RefineOptions:
     single_line: frozenset[str] = frozenset()
     partition: Mapping[str, Partitioning] = field(default_factory=dict)
     skip_stored: bool = False
+    at_once: int = 4
 
     def __post_init__(self) -> None:
+        if self.at_once < 1:
+            raise ValueError(f"at_once must be 1 or more, not {self.at_once}")
         object.__setattr__(self, "mode", check_write_mode(self.mode))
         check_bad_value_mode(self.on_bad_value)
 
@@ -279,8 +284,7 @@ def refine_all(
     """Refines each dataset folder under ``raw_root``; one failure does not stop the rest.
 
     Returns one row per dataset. Raises ``RefineError`` at the end if any dataset failed,
-    unless ``fail_on_error`` is off. Datasets run one after another, since each job by
-    itself fills the cluster.
+    unless ``fail_on_error`` is off. ``RefineOptions.at_once`` datasets run side by side.
     """
     sources = {name: dataset_path(raw_root, name) for name in pick_datasets(datasets)}
     return results_table(
@@ -296,28 +300,31 @@ def refine_sources(
     options: RefineOptions | None = None,
     changed: Mapping[str, list[str]] | None = None,
 ) -> list[dict]:
-    """One result row per dataset of ``sources`` (dataset to path or list of files).
+    """One result row per dataset of ``sources`` (dataset to path or list of files), in its order.
 
+    Each dataset has a session of its own, so what is set for one plays no part in another or
+    in the caller's session.
     ``changed`` has the new and changed files of partitioned datasets, for those that can take
     them by themselves; ``sources`` is what the others are rebuilt from.
     """
     options = options or RefineOptions()
     run_ts = run_ts or utc_now()
-    results = []
-    for dataset, paths in sources.items():
+
+    def one(dataset: str, session: SparkSession) -> dict:
         try:
             some = (changed or {}).get(dataset)
-            alone = bool(some) and takes_changes(spark, refined_root, dataset, some, options)
-            result = refine_paths(
-                spark, some if alone else paths, dataset, refined_root, run_ts, options, alone
-            )
+            alone = bool(some) and takes_changes(session, refined_root, dataset, some, options)
+            paths = some if alone else sources[dataset]
+            result = refine_paths(session, paths, dataset, refined_root, run_ts, options, alone)
         except Exception as error:
             missing = isinstance(error, NoColumns) or is_missing_source(error)
             status = SKIPPED if missing and options.skip_missing else FAILED
             result = _result(dataset, status, reason=str(error))
         logger.info("refine %s", result)
-        results.append(result)
-    return results
+        return result
+
+    work = {dataset: partial(one, dataset) for dataset in sources}
+    return side_by_side(spark, work, options.at_once)
 
 
 def results_table(spark: SparkSession, results: list[dict], fail_on_error: bool) -> DataFrame:
