@@ -215,13 +215,15 @@ def op5_secret_scan(spark, sf_dir: str) -> DataFrame:
         )
 
     base = F.filter("spans", lambda s: s["kind"] < len(STRONG))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for k, kind in enumerate(STRONG)
-    ]
+
+    def count(kind: str) -> Column:
+        # With a second argument the function would get the index of each span.
+        of_kind = F.filter("spans", lambda s: s["kind"] == KINDS.index(kind))
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *counts,
+        *map(count, STRONG),
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
