@@ -22,6 +22,8 @@ class Partitioning:
     expression: str
 
 
+_SPREAD = "__spread"
+
 WORK_MONTH = Partitioning("work_month", "workdate div 100")
 
 
@@ -44,10 +46,11 @@ def with_partition(df: DataFrame, partitioning: Partitioning) -> DataFrame:
 def dealt_out(df: DataFrame, partitioning: Partitioning) -> DataFrame:
     """``df`` by partition and a hash of the row, so that many tasks write a large partition.
 
-    Adaptive execution merges the small ones.
+    Adaptive execution merges the small ones and cuts those of more than its advisory size.
     """
     spread = F.pmod(F.xxhash64(*(quoted(name) for name in df.columns)), F.lit(64))
-    return df.repartition(F.col(quoted(partitioning.column)), spread)
+    spread_out = df.withColumn(_SPREAD, spread).hint("rebalance", F.col(quoted(partitioning.column)), F.col(_SPREAD))
+    return spread_out.drop(_SPREAD)
 
 
 def replace_files(
@@ -72,7 +75,8 @@ def replace_files(
     path = dataset_path(refined_root, dataset)
     column = partitioning.column
     stored = spark.read.parquet(path)
-    named = files.select(F.col(SOURCE_FILE)).distinct()
+    # File names, sent to all tasks: a join by shuffle would bring the rows of a file into one task.
+    named = F.broadcast(files.select(F.col(SOURCE_FILE)).distinct())
     rows = written(with_partition(rows, partitioning), "months_new")
     before = stored.join(named, SOURCE_FILE, "left_semi").select(column)
     # One row per partition, so a few hundred for months.
