@@ -31,7 +31,7 @@ from carebase.plans.months import WORK_MONTH, replace_files, with_partition
 from carebase.plans.refine import RefineError, RefineOptions, refine_all, results_table
 from carebase.plans.view_store import ViewStore, store_curated_views
 from carebase.plans.views import curated_views, refresh_views, register_views, write_views
-from carebase.session import scratch_path
+from carebase.session import scratch_path, written
 from carebase.sources.listing import list_files
 from carebase.sources.refined import read_refined, write_refined
 
@@ -310,29 +310,52 @@ def landed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Rows of the second file from this day on stay in the second round, with another census.
+# Rows of the second half from this day on stay in the second round, with another census.
 KEPT_FROM, FACTS_OF = 19960301, ("provnum", "state", "workdate", "mdscensus")
+# About so many rows make a file: one task reads it, as fields may hold line breaks.
+FILE_ROWS = 1_000_000
+
+
+def _staffing_files(spark: SparkSession, rows: DataFrame, n_files: int, time: str) -> DataFrame:
+    """The listing of CSV files that hold ``rows``, one per (half, slice)."""
+    folder = scratch_path(spark, "inbox")
+    # More partitions than files, so that few tasks get several of them.
+    dealt = rows.repartition(8 * n_files, "half", "slice").write.partitionBy("half", "slice")
+    dealt.csv(folder, header=True)
+    part = "regexp_extract(path, 'half=([0-9])', 1), '_', regexp_extract(path, 'slice=([0-9]+)', 1)"
+    return list_files(spark, folder).selectExpr(
+        f"concat({part}) as file_id",
+        f"concat('PBJ_Daily_Nurse_Staffing_', {part}, '.csv') as file_name",
+        f"timestamp_ntz'{time}' as modified_time",
+        "path",
+    )
 
 
 def refreshed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staffing facts in months, of which the second of two runs rewrites those of one file."""
+    """Staffing facts in months, of which the second of two runs rewrites those of one half's files."""
     roots = {name: scratch_path(spark, name) for name in ("lake", "state", "refined")}
     facts = fixtures.staffing(spark, sf_dir).select(*FACTS_OF)
-    half = "cast(provnum as int) % 2"
-    first = facts.selectExpr("*", f"{half} as half")
+    n_files = facts.count() // FILE_ROWS + 1
+    # Equal rows share a file, and a row keeps its file when its census changes.
+    first = facts.selectExpr(
+        "*",
+        "cast(provnum as int) % 2 as half",
+        f"pmod(xxhash64(provnum, state, workdate), {n_files}) as slice",
+    )
     later = first.where(f"half = 1 and workdate >= {KEPT_FROM}").withColumn(
         "mdscensus", F.expr("mdscensus + 1")
     )
-    for i, rows in enumerate((first, later)):
-        folder = scratch_path(spark, "inbox")
-        rows.repartition("half").write.partitionBy("half").csv(folder, header=True)
-        listing = list_files(spark, folder).selectExpr(
-            "regexp_extract(path, 'half=([0-9])', 1) as file_id",
-            "concat('PBJ_Daily_Nurse_Staffing_', regexp_extract(path, 'half=([0-9])', 1), '.csv') as file_name",
-            f"timestamp_ntz'2024-01-0{i + 1}' as modified_time",
-            "path",
-        )
-        options = RefineOptions(partition={STAFFING: WORK_MONTH})
+    before = written(_staffing_files(spark, first, n_files, "2024-01-01"), "listing")
+    after = _staffing_files(spark, later, n_files, "2024-01-02")
+    # A file that has lost all its rows is still there, with nothing but its header.
+    header = scratch_path(spark, "inbox")
+    facts.where("false").coalesce(1).write.csv(header, header=True)
+    bare = list_files(spark, header).select("path")
+    emptied = before.where("file_id like '1%'").join(after, "file_id", "left_anti")
+    emptied = emptied.withColumn("modified_time", F.expr("timestamp_ntz'2024-01-02'")).drop("path")
+    after = written(after.unionByName(emptied.crossJoin(bare)), "listing")
+    options = RefineOptions(partition={STAFFING: WORK_MONTH})
+    for listing in (before, after):
         ingest(spark, listing, roots["state"], roots["refined"], landing_root=roots["lake"], options=options)
     stored = read_refined(spark, roots["refined"], STAFFING)
     return stored.groupBy("work_month", "state").agg(

@@ -1,5 +1,7 @@
 """Refreshes of large files: spread over tasks, with the rows of whole files."""
 
+import __spark_entry__ as registry
+import duckdb
 from pyspark.sql import functions as F
 
 from carebase.datasets import STAFFING
@@ -33,3 +35,36 @@ def test_stored_rows_are_not_shuffled_by_file(spark, tmp_path, monkeypatch):
     left = sorted(row.n for row in read_refined(spark, root, STAFFING).collect())
     assert left == sorted([*range(0, 200, 2), *range(1001, 1100, 2)])
 
+
+def test_months_of_many_files_equal_the_sql(spark, tmp_path, monkeypatch):
+    """Files of few rows each; that of one facility has no rows left in the second round."""
+    lines = spark.range(300).selectExpr(
+        "id as l_orderkey", "id % 5 as l_partkey", "id % 6 as l_suppkey",
+        "cast(id % 4 as int) as l_linenumber", "1d as l_quantity", "1d as l_extendedprice",
+        "0d as l_discount", "0d as l_tax", "'N' as l_returnflag", "'O' as l_linestatus",
+        "timestamp_ntz'1996-01-05' + make_interval(0, 0, 0, cast(if(id % 6 = 1, 0, id) as int)) as l_shipdate",
+    )
+    suppliers = spark.range(6).selectExpr(
+        "id as s_suppkey", "'s' as s_name", "cast(id % 2 as int) as s_nationkey", "0d as s_acctbal"
+    )
+    nations = spark.range(2).selectExpr(
+        "cast(id as int) as n_nationkey", "concat('N', id) as n_name", "1 as n_regionkey"
+    )
+    tables = {"lineitem": lines.union(lines.where("l_orderkey < 40")), "supplier": suppliers, "nation": nations}
+    duck = duckdb.connect()
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    monkeypatch.setattr(registry, "FILE_ROWS", 10)
+    listed, files = [], registry._staffing_files
+
+    def counted(*args):
+        listing = files(*args)
+        listed.append(listing.count())
+        return listing
+
+    monkeypatch.setattr(registry, "_staffing_files", counted)
+    got = registry.refreshed_months(spark, str(tmp_path)).collect()
+    expected = duck.execute(registry.oracle_sql()["refreshed_months"]).fetchall()
+    assert sorted(map(tuple, got)) == sorted(expected)
+    assert listed[0] > 10
