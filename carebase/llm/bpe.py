@@ -5,7 +5,7 @@ on its own. A segment tree stands over the ranks of its adjacent pairs: the root
 leftmost pair of the lowest rank, and a merge updates three leaves and their ancestors, until no
 pair can be merged. So a piece of n bytes takes n log n steps, also one of a hundred thousand
 characters without a blank. Pieces repeat, so every worker remembers the ids of the short pieces
-it has merged, up to ``REMEMBERED`` (some 100 MB); longer ones are merged each time.
+it has merged, up to ``REMEMBERED`` (some 30 MB); longer ones are merged each time.
 
 The vocabulary is a file of bounded size (``MAX_VOCABULARY`` bytes, else refused). The driver reads
 it and broadcasts it, so executors need no file. Encoding is per row: nothing is shuffled, and a
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.json"
 MAX_VOCABULARY = 64 * 2**20
-REMEMBERED = 2**19
+REMEMBERED = 2**17
 LONGEST_REMEMBERED = 64
 
 # --- Fixed values: the pattern that cuts texts, with its character classes as parameters --------
@@ -166,8 +166,9 @@ class Vocabulary:
     def __init__(self, content: bytes):
         self.content = content
 
-    @cached_property
+    @property
     def parsed(self) -> dict:
+        """Read anew for each use: kept, it would fill more memory than what is taken from it."""
         return json.loads(self.content)
 
     @cached_property
@@ -182,16 +183,17 @@ class Vocabulary:
     @cached_property
     def bytes_of(self) -> dict[int, bytes]:
         byte_of = {c: b for b, c in byte_characters().items()}
-        tokens = {i: bytes(byte_of[c] for c in t) for t, i in self.parsed["model"]["vocab"].items()}
+        ids = self.parsed["model"]["vocab"]
+        tokens = {i: bytes(byte_of[c] for c in t) for t, i in ids.items()}
         return tokens | {i: token.encode() for token, i in self.added.items()}
 
     @cached_property
     def pieces(self) -> Remembered:
-        ids = self.parsed["model"]["vocab"]
-        characters = byte_characters()
+        model = self.parsed["model"]
+        ids, characters = model["vocab"], byte_characters()
         first = [ids[characters[b]] for b in range(256)]
         merges = {}
-        for rank, pair in enumerate(self.parsed["model"]["merges"]):
+        for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             merges[ids[left], ids[right]] = (rank, ids[left + right])
         return Remembered(
