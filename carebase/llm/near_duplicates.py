@@ -9,10 +9,12 @@
    confirmed on the full sets of their texts. So a large bucket of copies costs as many pairs as
    it has members.
 4. Members of a large bucket that are not in its main group after that are compared with all
-   others of the bucket, block by block, on full sets. No pair that shares a bucket and is not
-   connected by then goes uncompared.
+   others of the bucket, block by block: by signatures, then, of those with a plausible partner in
+   the block, on full sets. No pair that shares a bucket and is not connected by then goes
+   uncompared.
 5. Confirmed links are grouped by hooking each class to its smallest neighbour and jumping to the
-   label of the label until nothing changes.
+   label of the label until nothing changes. Links found later are grouped between labels. Copies
+   are no links: each document takes the label of its class.
 
 Between steps, tables are stored in the shared folder. The driver sees counts only.
 
@@ -30,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carebase.llm.text import hash_bitmap, in_bitmap
@@ -52,6 +54,8 @@ SMALL = 24
 # The members of a large bucket that one task holds, from either side.
 BLOCK = 384
 COLUMNS = 4096
+# About so many hashes of a block are sorted at a time.
+HASHES = 1 << 19
 WINDOW_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -190,27 +194,56 @@ def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[keep, ["a", "b"]]
 
 
+def _hash_ranges(sets: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The sorted sets cut at the same hashes, into parts of about ``HASHES`` in all."""
+    parts = sum(map(len, sets)) // HASHES + 1
+    cuts = np.array([2**64 * k // parts for k in range(1, parts)], np.uint64)
+    places = [[0, *np.searchsorted(x, cuts), len(x)] for x in sets]
+    for k in range(parts):
+        yield [x[at[k] : at[k + 1]] for x, at in zip(sets, places, strict=True)]
+
+
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """How many shingles each set on the left has in common with each on the right."""
-    sets = left + right
-    values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
-    often = times > 1
-    place = np.cumsum(often) - 1
-    chosen = often[column]
-    owner, column = owner[chosen], place[column[chosen]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
+    """How many shingles each sorted set on the left has in common with each on the right."""
     both = np.zeros((len(left), len(right)), np.float32)
-    for first in range(0, int(often.sum()), COLUMNS):
-        lo, hi = np.searchsorted(column, (first, first + COLUMNS))
-        has = np.zeros((len(sets), COLUMNS), np.float32)
-        has[owner[lo:hi], column[lo:hi] - first] = 1
-        both += has[: len(left)] @ has[len(left) :].T
+    for sets in _hash_ranges(left + right) if left and right else ():
+        values = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])
+        _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+        often = times > 1
+        place = np.cumsum(often) - 1
+        chosen = often[column]
+        owner, column = owner[chosen], place[column[chosen]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        for first in range(0, int(often.sum()), COLUMNS):
+            lo, hi = np.searchsorted(column, (first, first + COLUMNS))
+            has = np.zeros((len(sets), COLUMNS), np.float32)
+            has[owner[lo:hi], column[lo:hi] - first] = 1
+            both += has[: len(left)] @ has[len(left) :].T
     return both.astype(np.int64)
 
 
+_DEALT = "key long, i int, j int, id long, label long, outside boolean"
+
+
+def _block_candidates(block: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a block that sizes and signatures leave a partner with another label."""
+    outside = block["outside"].to_numpy()
+    n, label = block["n"].to_numpy(), block["label"].to_numpy()
+    signs = np.frombuffer(b"".join(block["signs"]), np.uint8).reshape(len(block), REGISTERS)
+    agreeing = np.zeros((outside.sum(), (~outside).sum()), np.uint8)
+    for ours, theirs in zip(signs[outside].T, signs[~outside].T, strict=True):
+        agreeing += ours[:, None] == theirs[None, :]
+    smaller = np.minimum(n[outside][:, None], n[~outside][None, :])
+    larger = np.maximum(n[outside][:, None], n[~outside][None, :])
+    found = (agreeing >= AGREEING) & (100 * smaller >= PERCENT * larger)
+    found &= label[outside][:, None] != label[~outside][None, :]
+    keep = np.zeros(len(block), dtype=bool)
+    keep[outside], keep[~outside] = found.any(axis=1), found.any(axis=0)
+    return block.loc[keep, ["key", "i", "j", "id", "label", "outside"]]
+
+
 def _block_links(block: pd.DataFrame) -> pd.DataFrame:
     """Links between outsiders and members of one bucket, which differ in their label."""
     hasher = WordHasher()
@@ -252,7 +285,7 @@ def _joined(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
 
 def _plausible(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     """Pairs that their sizes and signatures do not rule out."""
-    sized = _joined(pairs, signs, "n", "hex")
+    sized = _joined(pairs, signs.withColumn("hex", F.hex("signs")), "n", "hex")
     smaller, larger = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
     return sized.where(100 * smaller >= PERCENT * larger).where(_agreement() >= AGREEING).select("a", "b")
 
@@ -263,10 +296,9 @@ def _ordered(x: str, y: str) -> list[Column]:
 
 def components(links: DataFrame) -> DataFrame:
     """(id, label): the smallest id that each linked id reaches through the links (a, b)."""
-    both = written(
-        links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-        "links",
-    )
+    # Both directions from one reading, or the links would be made twice.
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = written(links.select(F.inline(ways)).distinct(), "links")
     labels = written(
         both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("a"), F.min("b")).alias("label")),
         "labels",
@@ -274,11 +306,8 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         seen = both.join(labels.select(F.col("id").alias("b"), "label"), "b")
         offered = seen.groupBy(F.col("a").alias("id")).agg(F.min("label").alias("offer"))
-        hooked = written(
-            labels.join(offered, "id").select(
-                "id", F.col("label").alias("old"), F.least("label", "offer").alias("label")
-            ),
-            "hooked",
+        hooked = labels.join(offered, "id").select(
+            "id", F.col("label").alias("old"), F.least("label", "offer").alias("label")
         )
         roots = hooked.select(F.col("id").alias("label"), F.col("label").alias("root"))
         labels = written(
@@ -304,10 +333,10 @@ def candidate_pairs(members: DataFrame) -> DataFrame:
     return among.union(against).distinct()
 
 
-def outsider_links(members: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+def outsider_links(members: DataFrame, labels: DataFrame, signs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): links in large buckets from members that are not in the bucket's main group."""
     many = members.where(F.col("members") > SMALL).select("key", "id", "members")
-    labelled = many.join(components(links), "id", "left").select(
+    labelled = many.join(labels, "id", "left").select(
         "key", "id", "members", F.coalesce("label", "id").alias("label")
     )
     labelled = written(labelled, "labelled")
@@ -317,6 +346,7 @@ def outsider_links(members: DataFrame, links: DataFrame, texts: DataFrame) -> Da
         labelled.join(mains, "key")
         .where(F.col("main.n") < F.col("members"))
         .withColumn("out", F.col("label") != F.col("main.label"))
+        .join(signs, "id")
     )
     n_all, n_out = F.col("members"), F.col("members") - F.col("main.n")
     all_blocks = F.ceil(n_all / BLOCK).cast("int")
@@ -328,63 +358,76 @@ def outsider_links(members: DataFrame, links: DataFrame, texts: DataFrame) -> Da
         every = F.explode(F.sequence(F.lit(0), others - 1))
         names = ("i", "j") if outside else ("j", "i")
         return rows.select(
-            "key", "id", "label", F.lit(outside).alias("outside"), mine.alias(names[0]), every.alias(names[1])
-        ).select("key", "i", "j", "id", "label", "outside")
+            "key", "id", "label", F.lit(outside).alias("outside"), "n", "signs",
+            mine.alias(names[0]), every.alias(names[1]),
+        ).select("key", "i", "j", "id", "label", "outside", "n", "signs")
 
     blocks = dealt(True, out_blocks, all_blocks).union(dealt(False, all_blocks, out_blocks))
-    blocks = blocks.join(texts, "id")
-    found = blocks.groupBy("key", "i", "j").applyInPandas(_block_links, "a long, b long")
+    # Texts are dealt only where signatures leave something to confirm.
+    blocks = blocks.groupBy("key", "i", "j").applyInPandas(_block_candidates, _DEALT).distinct()
+    found = blocks.join(texts, "id").groupBy("key", "i", "j").applyInPandas(_block_links, "a long, b long")
     return written(found.distinct(), "outsiders")
 
 
-def near_duplicate_links(sketches: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b): confirmed links between classes that connect all that are linked in any bucket."""
-    classes = (
-        sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-        .groupBy("low", "high", "n_shingles")
-        .agg(F.min("doc_id").alias("first"))
-    )
-    first = classes.select(F.col("first").alias("doc_id")).distinct()
+def class_homes(sketches: DataFrame) -> DataFrame:
+    """(doc_id, first): the smallest id of each class that a document with words and id is in."""
+    nonempty = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = nonempty.groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("first"))
+    return written(nonempty.join(classes, ["low", "high", "n_shingles"]).select("doc_id", "first"), "homes")
+
+
+def near_duplicate_labels(sketches: DataFrame, homes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, label): the smallest class that each linked class reaches; classes go by their first id.
+
+    Classes that share a document, by rows with one id and other texts, are linked.
+    """
+    first = homes.where("doc_id = first").select("doc_id")
     chosen = sketches.where("n_shingles > 0").join(first, "doc_id", "left_semi")
-    banded = chosen.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key")).distinct()
-    shared = banded.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    placed = written(banded.join(shared, "key"), "placed")
-    weights = placed.groupBy("id").agg(F.sum("members").alias("weight"))
-    members = written(placed.join(weights, "id"), "members")
+    # Dealt by bucket once, for both the distinct rows and their number.
+    banded = chosen.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key")).repartition("key")
+    placed = banded.distinct().withColumn("members", F.count("*").over(Window.partitionBy("key")))
+    weight = F.sum("members").over(Window.partitionBy("id")).alias("weight")
+    members = written(placed.where("members > 1").select("id", "key", "members", weight), "members")
 
-    wanted = weights.select(F.col("id").alias("doc_id"))
+    wanted = members.select(F.col("id").alias("doc_id"))
     texts = docs.select("doc_id", "text").withColumn("bitmap", hash_bitmap(wanted, "doc_id"))
     texts = texts.where(in_bitmap(F.col("bitmap"), F.col("doc_id"))).drop("bitmap")
     texts = written(
         texts.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text"), "texts"
     )
     signs = chosen.join(wanted, "doc_id", "left_semi").select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.hex("signs").alias("hex")
+        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signs"
     )
-    plausible = written(_plausible(candidate_pairs(members), written(signs, "signs")), "plausible")
+    signs = written(signs, "signs")
+    plausible = written(_plausible(candidate_pairs(members), signs), "plausible")
     texted = _joined(plausible, texts, "text").select("a", "b", "a_text", "b_text")
-    links = written(texted.mapInPandas(_confirmed, "a long, b long").distinct(), "found")
+    links = texted.mapInPandas(_confirmed, "a long, b long")
+    least = F.min("first").over(Window.partitionBy("doc_id"))
+    shared = homes.select(least.alias("a"), F.col("first").alias("b")).where("a <> b")
+    labels = components(links.union(shared))
     if members.where(F.col("members") > SMALL).isEmpty():
-        return links
-    return links.union(outsider_links(members, links, texts))
+        return labels
+    outside = outsider_links(members, labels, signs, texts)
+    if outside.isEmpty():
+        return labels
+    ends = outside.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    named = ends.join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("top"))
+    tops = components(_joined(outside, named, "top").select(*_ordered("a_top", "b_top")))
+    top = tops.select(F.col("id").alias("label"), F.col("label").alias("top"))
+    joined = labels.join(top, "label", "left").select("id", F.coalesce("top", "label").alias("label"))
+    # A class that only such a link reaches is its own label in it.
+    return joined.union(tops).distinct()
 
 
 def group_near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document."""
     sketches = sketch(docs)
-    links = near_duplicate_links(sketches, docs)
-    # Copies hang on the first document of their class.
-    nonempty = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = nonempty.groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("first"))
-    copies = (
-        nonempty.join(classes, ["low", "high", "n_shingles"])
-        .where("doc_id <> first")
-        .select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    )
-    labels = components(links.union(copies))
-    joined = sketches.select("doc_id", "n_shingles").join(
-        labels.withColumnRenamed("id", "doc_id"), "doc_id", "left"
-    )
+    homes = class_homes(sketches)
+    labels = near_duplicate_labels(sketches, homes, docs)
+    # Copies take the label of the first document of their class.
+    homed = homes.join(labels, F.col("first") == F.col("id"), "left")
+    labels = homed.groupBy("doc_id").agg(F.min(F.coalesce("label", "first")).alias("label"))
+    joined = sketches.select("doc_id", "n_shingles").join(labels, "doc_id", "left")
     component = F.coalesce("label", "doc_id")
     return joined.select(
         "doc_id",

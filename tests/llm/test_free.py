@@ -3,8 +3,10 @@
 import hashlib
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,6 +161,52 @@ def test_near_duplicates_of_odd_tables(spark):
     assert kept.count() == 5 and kept.columns == docs_of(spark, rows).columns
 
 
+def test_copies_are_no_links(spark, monkeypatch):
+    stored = {}
+
+    def counted(df, name):
+        table = written(df, name)
+        stored[name] = stored.get(name, 0) + table.count()
+        return table
+
+    written = near_duplicates.written
+    monkeypatch.setattr(near_duplicates, "written", counted)
+    rows = [(i, "one text of many copies") for i in range(300)] + [(900, "text of another kind"), (7, "")]
+    # Rows of one id link the classes of their texts.
+    rows += [(900, "a third and other text"), (40, "a third and other text")]
+    got = near_duplicates.group_near_duplicates(docs_of(spark, rows)).collect()
+    assert {r.component_id for r in got if r.doc_id < 300 and r.doc_id not in (7, 40)} == {0}
+    assert {r.component_id for r in got if r.doc_id in (7, 40, 900)} == {0}
+    assert len(got) == len(rows) and stored["links"] < 20
+
+
+def test_outsiders_without_plausible_partners_send_no_texts():
+    rng = np.random.default_rng(8)
+    signs = rng.integers(0, 256, (9, near_duplicates.REGISTERS), dtype=np.uint8)
+    signs[7, :60], signs[8, :60] = signs[0, :60], signs[1, :60]
+    block = pd.DataFrame({
+        "key": 5, "i": 0, "j": 0, "id": range(9), "label": [0, 1, 2, 3, 4, 5, 6, 7, 1],
+        "outside": [True] * 4 + [False] * 5, "n": 50, "signs": [x.tobytes() for x in signs],
+    })
+    # 1 and 8 agree, but have one label already.
+    assert list(near_duplicates._block_candidates(block)["id"]) == [0, 7]
+    assert near_duplicates._block_candidates(block.assign(n=[9, *[50] * 8])).empty
+
+
+def test_long_texts_of_a_block_are_counted_in_bounded_memory():
+    rng = np.random.default_rng(6)
+    pool = rng.integers(0, 2**64, 90_000, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, 80_000)) for _ in range(60)]
+    tracemalloc.start()
+    both = near_duplicates.shared_counts(sets[:30], sets[30:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
+    for i, j in ((0, 0), (3, 17), (29, 29)):
+        assert both[i, j] == len(np.intersect1d(sets[i], sets[30 + j]))
+    assert near_duplicates.shared_counts(sets[:2], []).shape == (2, 0)
+
+
 def test_words_are_hashed_alike_in_any_window(monkeypatch):
     hasher = near_duplicates.WordHasher()
     text = " ".join(f"word{i} \x0b\x1c" for i in range(3000)) + " é"
